@@ -1,0 +1,35 @@
+"""Put a DataFrame into files that ``SnapshotClient`` serves page by page."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.functions.casts import quoted, text_schema
+from tidemark.operators.changes import changed_since
+from tidemark.sources.clients import snapshot_folder
+
+
+def write_snapshot(
+    df: DataFrame,
+    location: str,
+    row_id: str,
+    since: str | None = None,
+    created: str | None = None,
+    updated: str | None = None,
+    hidden: tuple[str, ...] = (),
+) -> None:
+    """Write the rows (changed since ``since``, if given) as text, in ``row_id`` order.
+
+    ``hidden`` columns drive order and filter and are not served.
+    """
+    if since is not None:
+        df = changed_since(df, created, updated, since)
+    folder = snapshot_folder(location, since)
+    served = [c for c in df.columns if c not in hidden]
+    # A range partitioned sort: file names follow row-id order.
+    ordered = df.orderBy(quoted(row_id)).select(*[quoted(c).cast("string") for c in served])
+    ordered.write.mode("overwrite").parquet(f"{folder}/rows")
+    rows = df.sparkSession.read.schema(text_schema(ordered.schema)).parquet(f"{folder}/rows")
+    index = rows.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("rows"))
+    index.write.mode("overwrite").parquet(f"{folder}/index")

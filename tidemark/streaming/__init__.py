@@ -1,0 +1,5 @@
+"""Empty on purpose: every load here is a bounded batch.
+
+The incremental form re-reads a look-back window and merges it, so there is no
+stream, watermark or state to keep.
+"""
