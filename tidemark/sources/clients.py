@@ -91,6 +91,7 @@ class SnapshotClient:
     def __init__(self, location: str, columns: list[str]):
         self.location = location
         self.columns = columns
+        self.schema = pa.schema([(c, pa.string()) for c in columns])
 
     def count(self, since: str | None) -> int:
         return sum(rows for _, rows in self._files(since))
@@ -104,8 +105,7 @@ class SnapshotClient:
                 path = f"{folder}/rows/{name}"
                 parts += self._slices(fs, path, offset - first, offset + limit - first)
             first += rows
-        empty = pa.schema([(c, pa.string()) for c in self.columns]).empty_table()
-        return pa.concat_tables([empty, *parts])
+        return pa.concat_tables([self.schema.empty_table(), *parts])
 
     def _slices(self, fs, path: str, start: int, stop: int) -> list[pa.Table]:
         """Rows ``start`` to ``stop`` of one file, by its own row numbers."""
@@ -118,7 +118,7 @@ class SnapshotClient:
                 low, high = max(start - first, 0), min(stop - first, rows)
                 if low < high:
                     table = file.read_row_group(group, columns=self.columns).select(self.columns)
-                    slices.append(table.slice(low, high - low))
+                    slices.append(table.slice(low, high - low).cast(self.schema))
                 first += rows
         return slices
 
