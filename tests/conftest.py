@@ -12,16 +12,14 @@ from tidemark.workspace import Workspace  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    from pyspark.sql import SparkSession
-
-    SparkSession.builder.master("local[8]")
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         {
             "spark.master": "local[8]",
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": f"file:{tmp_path_factory.mktemp('shared')}",
             "spark.driver.memory": "4g",
             "spark.driver.bindAddress": "127.0.0.1",
             "spark.driver.host": "127.0.0.1",

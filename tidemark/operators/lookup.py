@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.casts import quoted
-from tidemark.operators.sizes import BROADCAST_LIMIT, broadcast_if_small
+from tidemark.operators.sizes import BROADCAST_LIMIT, broadcast_if, fits_broadcast
 
 
 def reference_values(reference: DataFrame, name: str, value: str) -> DataFrame:
@@ -34,12 +34,10 @@ def add_reference(
     """
     raw = reference.select(quoted(reference_name), quoted(reference_value))
     # Measured before duplicates go: a scan without a shuffle, and still an upper bound.
-    small = broadcast_if_small(raw, broadcast_limit)[1]
+    small = fits_broadcast(raw, broadcast_limit)
     pairs = reference_values(reference, reference_name, reference_value)
     pairs = pairs.select(F.col("name").alias("__name"), F.col("value").alias("__value"))
-    joined = main.join(
-        F.broadcast(pairs) if small else pairs, quoted(column) == F.col("__name"), "left"
-    )
+    joined = main.join(broadcast_if(pairs, small), quoted(column) == F.col("__name"), "left")
     nested = F.struct(quoted(column).alias(column), F.col("__value").alias(value_field))
     return joined.select(
         *[nested.alias(c) if c == column else quoted(c) for c in main.columns]

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.casts import quoted
-from tidemark.operators.sizes import BROADCAST_LIMIT, broadcast_if_small
+from tidemark.operators.sizes import BROADCAST_LIMIT, broadcast_if, fits_broadcast
 from tidemark.workspace import Workspace
 
 
@@ -46,15 +46,19 @@ def shared_keys(
     keys: list[str],
     null_safe_keys: bool = False,
     broadcast_limit: int = BROADCAST_LIMIT,
+    source_is_small: bool = False,
 ) -> DataFrame:
-    """Keys on both sides, with the number of source rows that carry each."""
+    """Keys on both sides, with the number of source rows that carry each.
+
+    ``source_is_small``: already measured to be within ``broadcast_limit``.
+    """
     ours = target.select(*[quoted(k) for k in keys])
     theirs = source.select(*[quoted(k) for k in keys])
     if not null_safe_keys:
         ours, theirs = ours.filter(~_any_null(keys)), theirs.filter(~_any_null(keys))
-    batch, small = broadcast_if_small(_prefixed(theirs, keys, "__"), broadcast_limit)
-    if small:
+    if source_is_small or fits_broadcast(theirs, broadcast_limit):
         # Only target keys that the batch mentions need to be shuffled.
+        batch = F.broadcast(_prefixed(theirs, keys, "__"))
         ours = ours.join(batch, _same_key(keys, "__", null_safe_keys), "left_semi")
     both = ours.select("*", F.lit(0).alias("n"), F.lit(True).alias("hit")).unionAll(
         theirs.select("*", F.lit(1).alias("n"), F.lit(False).alias("hit"))
@@ -100,24 +104,33 @@ def merge(
     if not source_is_stored:
         source = workspace.store(source, "source")
 
+    # A batch that fits a broadcast bounds its keys and its updates as well.
+    small = fits_broadcast(source, broadcast_limit)
     matched = workspace.store(
-        shared_keys(target, source, keys, null_safe_keys, broadcast_limit), "matched"
+        shared_keys(target, source, keys, null_safe_keys, broadcast_limit, small), "matched"
     )
-    refused = matched.filter(F.col("source_rows") > 1).limit(5).collect()
-    if refused:
-        named = "; ".join(str(row.asDict()) for row in refused)
+    hits, most = matched.agg(F.count("*"), F.max("source_rows")).first()
+    if not hits:
+        return target.unionAll(source)
+    if most > 1:
+        some = matched.filter(F.col("source_rows") > 1).limit(5).collect()
+        named = "; ".join(str(row.asDict()) for row in some)
         raise MultipleMatchError(f"several source rows match one target row: {named}")
 
     keyed = source if null_safe_keys else source.filter(~_any_null(keys))
-    hit_keys, _ = broadcast_if_small(_prefixed(matched, keys, "__"), broadcast_limit)
+    hit_keys = _prefixed(matched, keys, "__")
+    hit_keys = broadcast_if(hit_keys, small or fits_broadcast(hit_keys, broadcast_limit))
     hit = _same_key(keys, "__", null_safe_keys)
-    updates = workspace.store(keyed.join(hit_keys, hit, "left_semi"), "updates")
+    updates = keyed.join(hit_keys, hit, "left_semi")
     inserts = keyed.join(hit_keys, hit, "left_anti")
     if not null_safe_keys:
         inserts = inserts.unionAll(source.filter(_any_null(keys)))
 
+    if not small:
+        updates = workspace.store(updates, "updates")
+        small = fits_broadcast(updates, broadcast_limit)
     new = _prefixed(updates, columns, "__new_").withColumn("__hit", F.lit(True))
-    new, small = broadcast_if_small(new, broadcast_limit)
+    new = broadcast_if(new, small)
     untouched = None
     if not small and not null_safe_keys:
         # Null-key rows match nothing; shuffled, they would all meet in one partition.

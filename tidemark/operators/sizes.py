@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    CalendarIntervalType,
+    DataType,
+    DecimalType,
+    MapType,
+    StringType,
+    StructType,
+    VariantType,
+)
 
 from tidemark.functions.casts import quoted
 
@@ -14,7 +24,7 @@ _WORD = 8
 
 def _variable_bytes(value: Column, kind: DataType) -> Column | None:
     """Bytes beyond the fixed slot; None where no bound is worked out."""
-    if isinstance(kind, (ArrayType, MapType)):
+    if isinstance(kind, (ArrayType, MapType, VariantType)):
         return None
     if isinstance(kind, (StringType, BinaryType)):
         return F.coalesce(F.octet_length(value), F.lit(0)) + _WORD
@@ -23,7 +33,9 @@ def _variable_bytes(value: Column, kind: DataType) -> Column | None:
         if any(part is None for part in parts):
             return None
         return sum(parts, F.lit(_WORD * (len(parts) + 1)))
-    return F.lit(_WORD)
+    if isinstance(kind, (DecimalType, CalendarIntervalType)):
+        return F.lit(2 * _WORD)
+    return F.lit(0)
 
 
 def measured_bytes(df: DataFrame) -> int | None:
@@ -35,16 +47,18 @@ def measured_bytes(df: DataFrame) -> int | None:
     return df.agg(F.coalesce(F.sum(per_row), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> tuple[DataFrame, bool]:
-    """``df`` marked for broadcast if its measured size is within ``limit``.
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
+    """True if the measured size of ``df`` is within ``limit``.
 
     Catalyst's estimate spares the measurement where the data is plainly too large.
-    Beyond the limit ``df`` is returned as is, for a shuffled join.
     """
     estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if estimate > limit:
-        return df, False
+        return False
     size = measured_bytes(df)
-    if size is None or size > limit:
-        return df, False
-    return F.broadcast(df), True
+    return size is not None and size <= limit
+
+
+def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
+    """Marked for broadcast, or left for a shuffled join."""
+    return F.broadcast(df) if small else df

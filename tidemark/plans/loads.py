@@ -39,7 +39,9 @@ REJECT_SCHEMA = StructType(
 
 @dataclass(frozen=True)
 class LoadReport:
-    """``null_key_rows`` are inserted again by every load that reads them."""
+    """Of the rows loaded: those with a null in the key, which every load that reads
+    them inserts again, and those left out because they could not be typed.
+    """
 
     null_key_rows: int
     rejected_rows: int
@@ -114,7 +116,7 @@ class Loader:
             list(threads.map(extract_and_stage, datasets))
         # Merging into an empty target inserts every row.
         self.target.publish(self.transform())
-        return self._report(datasets)
+        return LoadReport(self._null_keys(self.target.read()), self._rejected(datasets))
 
     def delta_load(
         self, run_date: str | dt.date, days_ago: int | str | None = 2
@@ -125,11 +127,10 @@ class Loader:
                 raise MissingTable(f"no table at {table.path}; run the full load first")
         self.extract(self.spec.main, run_date, days_ago)
         self.stage(self.spec.main, run_date)
-        self.merge_staged()
-        return self._report([self.spec.main])
+        return LoadReport(self.merge_staged(), self._rejected([self.spec.main]))
 
-    def merge_staged(self) -> None:
-        """Transform what is staged and merge it into the target."""
+    def merge_staged(self) -> int:
+        """Transform what is staged and merge it; returns its number of null-key rows."""
         workspace = Workspace(self.spark, f"{self.root}/work")
         columns = [quoted(c) for c in self.spec.target_columns]
         source = workspace.store(self.transform().select(*columns), "enriched")
@@ -142,7 +143,9 @@ class Loader:
             if months:
                 merged = self._merged(self.target.read(months), source, workspace)
                 self.target.replace_months(merged)
+        null_keys = self._null_keys(source)
         workspace.drop()
+        return null_keys
 
     def _merged(self, target: DataFrame, source: DataFrame, workspace: Workspace) -> DataFrame:
         return merge(
@@ -156,10 +159,11 @@ class Loader:
             broadcast_limit=self.spec.broadcast_limit,
         )
 
-    def _report(self, datasets: list[Dataset]) -> LoadReport:
+    def _null_keys(self, df: DataFrame) -> int:
         any_null = reduce(Column.__or__, [quoted(k).isNull() for k in self.spec.keys])
-        staged = self.staging(self.spec.main).read()
-        rejected = 0
-        if not self.spec.strict:
-            rejected = sum(self.rejects(dataset).read().count() for dataset in datasets)
-        return LoadReport(staged.filter(any_null).count(), rejected)
+        return df.filter(any_null).count()
+
+    def _rejected(self, datasets: list[Dataset]) -> int:
+        if self.spec.strict:
+            return 0
+        return sum(self.rejects(dataset).read().count() for dataset in datasets)

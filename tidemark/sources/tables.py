@@ -84,12 +84,13 @@ class StoredTable:
 
     def recover(self) -> None:
         """Move in months committed aside; drop those whose write never committed."""
+        current = self._current()
         for name in storage.child_names(self.spark, self._pending()):
             aside = f"{self._pending()}/{name}"
             if storage.committed(self.spark, aside):
-                months = self.spark.read.schema(self._stored_schema()).parquet(aside)
-                writer = months.write.mode("overwrite").partitionBy(MONTH)
-                writer.option("partitionOverwriteMode", "dynamic").parquet(self._current())
+                for month in storage.child_names(self.spark, aside):
+                    if month.startswith(f"{MONTH}="):
+                        storage.replace(self.spark, f"{aside}/{month}", f"{current}/{month}")
             storage.delete(self.spark, aside)
 
     def _numbers(self) -> list[int]:

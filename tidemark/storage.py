@@ -27,6 +27,15 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def replace(spark: SparkSession, source: str, destination: str) -> None:
+    """Put folder ``source`` in the place of ``destination``."""
+    fs, from_path = _open(spark, source)
+    to_path = spark._jvm.org.apache.hadoop.fs.Path(destination)
+    fs.delete(to_path, True)
+    if not fs.rename(from_path, to_path):
+        raise OSError(f"could not move {source} to {destination}")
+
+
 def committed(spark: SparkSession, path: str) -> bool:
     """True once the write job into ``path`` has committed."""
     return exists(spark, f"{path}/_SUCCESS")
