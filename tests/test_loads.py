@@ -5,16 +5,17 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark import storage
+from tidemark.functions.casts import text_schema
 from tidemark.operators.merge import MultipleMatchError
 from tidemark.plans.evictions import MAIN_SCHEMA, REFERENCE_SCHEMA, evictions_spec
 from tidemark.plans.loads import Loader
 from tidemark.plans.spec import LoadSpec
 from tidemark.sources.snapshot import write_snapshot
 from tidemark.sources.tables import MissingTable, StoredTable
-from tidemark.functions.casts import text_schema
 
 NAME = "geographic_area_neighborhood_tabulation_area_nta_name"
 POPULATION = "total_population_2010_number"
@@ -60,8 +61,6 @@ class Site:
             ref = self.spark.createDataFrame(areas, f"{NAME} string, {POPULATION} string")
             for name in REFERENCE_SCHEMA.names:
                 if name not in ref.columns:
-                    from pyspark.sql import functions as F
-
                     ref = ref.withColumn(name, F.lit(None).cast("string"))
             write_snapshot(ref, str(self.remote / "reference"), NAME)
 
@@ -151,6 +150,19 @@ def test_delta_without_full_load(site):
         site.loader.delta_load("2022-04-06")
 
 
+def test_delta_onto_created_tables(spark, site):
+    site.loader.create_tables()
+    site.serve([eviction("1")], areas=None, since="2022-04-04")
+    site.loader.delta_load("2022-04-06")
+    assert site.rows() == []
+    site.serve([eviction("1", created="2022-04-04")], areas=None, since="2022-04-04")
+    site.loader.delta_load("2022-04-06")
+    assert site.rows() == [(1, "P", None, ("Park", None))]
+    site.loader.create_views()
+    count = "select count(*) from evictions join stg_evictions using (docket_number)"
+    assert spark.sql(count).first()[0] == 1
+
+
 def test_failed_cast_leaves_the_target(site):
     site.serve([eviction("1")])
     site.loader.full_load("2022-04-05")
@@ -256,3 +268,33 @@ def test_recover_finishes_committed_months_only(spark, tmp_path):
     table.recover()
     table.recover()
     assert sorted(r["n"] for r in table.read().collect()) == [1, 20]
+
+
+def test_hot_month_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(0, 60_000, 1, 16).select(
+        F.expr("timestamp_ntz '2024-01-01' + make_dt_interval(if(id % 3 = 0, 0, id % 300))").alias(
+            "day"
+        ),
+        F.col("id").alias("n"),
+    )
+    table = StoredTable(spark, str(tmp_path / "t"), ONE, month_of="day")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    try:
+        table.publish(rows)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {
+        folder.name: len(list(folder.glob("*.parquet")))
+        for folder in (tmp_path / "t" / "v00000001").glob("load_month=*")
+    }
+    assert len(files) == 10
+    assert files["load_month=2024-01"] > 2
+    assert table.read().count() == 60_000
+
+
+def test_workspace_is_dropped_after_a_load(site, tmp_path):
+    site.serve([eviction("1")])
+    site.loader.full_load("2022-04-05")
+    site.serve([eviction("2", created="2022-04-05")], areas=None, since="2022-04-04")
+    site.loader.delta_load("2022-04-06")
+    assert list((tmp_path / "lake" / "work").iterdir()) == []

@@ -76,7 +76,8 @@ def test_small_reference_is_broadcast_and_main_not_moved(spark, workspace):
 
 @pytest.mark.parametrize("hot", [0, None])
 def test_hot_name_is_split(spark, workspace, small_partitions, hot):
-    main = workspace.store(hot_and_cold(spark, hot).withColumn("k", F.expr("cast(k as string)")), "m")
+    rows = hot_and_cold(spark, hot).withColumn("k", F.col("k").cast("string"))
+    main = workspace.store(rows, "main")
     names = spark.range(0, 5000).select(F.col("id").cast("string").alias("n"), F.lit(1).alias("p"))
     reference = workspace.store(names, "ref")
     joined = add_reference(main, reference, "k", "n", "p", "p", broadcast_limit=0)
@@ -125,7 +126,9 @@ def test_null_target_keys_are_not_shuffled(spark, workspace, small_partitions):
 
 def test_small_batch_leaves_the_target_in_place(spark, workspace):
     target = workspace.store(hot_and_cold(spark, 0), "target")
-    batch = spark.range(10).select(F.col("id").alias("k"), F.lit(1).alias("v"), F.lit("x").alias("w"))
+    batch = spark.range(10).select(
+        F.col("id").alias("k"), F.lit(1).alias("v"), F.lit("x").alias("w")
+    )
     text = plan(merge(target, batch, ["k"], workspace=workspace))
     assert "Exchange hashpartitioning" not in text
     assert "BroadcastHashJoin" in text and "LeftOuter, BuildRight" in text

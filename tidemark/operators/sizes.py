@@ -47,16 +47,26 @@ def measured_bytes(df: DataFrame) -> int | None:
     return df.agg(F.coalesce(F.sum(per_row), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's own estimate; for a scan, the size of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def fits_broadcast(
+    df: DataFrame, limit: int = BROADCAST_LIMIT, to_spare: DataFrame | None = None
+) -> bool:
     """True if the measured size of ``df`` is within ``limit``.
 
-    Catalyst's estimate spares the measurement where the data is plainly too large.
+    ``to_spare`` is the side that would not have to be shuffled then; where it is
+    no larger than ``df``, a broadcast does not pay. The estimate saves measuring
+    data that is plainly too large.
     """
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if estimate > limit:
+    if estimated_bytes(df) > limit:
         return False
     size = measured_bytes(df)
-    return size is not None and size <= limit
+    if size is None or size > limit:
+        return False
+    return to_spare is None or size <= estimated_bytes(to_spare)
 
 
 def broadcast_if(df: DataFrame, small: bool) -> DataFrame:

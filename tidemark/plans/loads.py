@@ -68,6 +68,18 @@ class Loader:
         path = f"{self.root}/staging/{dataset.staging_name}_rejects"
         return StoredTable(self.spark, path, REJECT_SCHEMA)
 
+    def create_tables(self) -> None:
+        """Staging and target tables, empty, in place of what there was."""
+        for dataset in (self.spec.main, self.spec.reference):
+            self.staging(dataset).create_empty()
+        self.target.create_empty()
+
+    def create_views(self) -> None:
+        """Name the current staging and target tables for use in Spark SQL."""
+        for dataset in (self.spec.main, self.spec.reference):
+            self.staging(dataset).read().createOrReplaceTempView(dataset.staging_name)
+        self.target.read().createOrReplaceTempView(self.spec.target_name)
+
     def extract(
         self, dataset: Dataset, run_date: str | dt.date, days_ago: int | str | None = None
     ) -> str:
@@ -132,20 +144,24 @@ class Loader:
     def merge_staged(self) -> int:
         """Transform what is staged and merge it; returns its number of null-key rows."""
         workspace = Workspace(self.spark, f"{self.root}/work")
-        columns = [quoted(c) for c in self.spec.target_columns]
-        source = workspace.store(self.transform().select(*columns), "enriched")
-        if self.spec.month_of is None:
-            self.target.publish(self._merged(self.target.read(), source, workspace))
-        else:
-            # The month column is a key, so a match is always in the row's own month.
-            self.target.recover()
-            months = self.target.months_in(source)
-            if months:
-                merged = self._merged(self.target.read(months), source, workspace)
-                self.target.replace_months(merged)
-        null_keys = self._null_keys(source)
-        workspace.drop()
-        return null_keys
+        try:
+            columns = [quoted(c) for c in self.spec.target_columns]
+            source = workspace.store(self.transform().select(*columns), "enriched")
+            if self.spec.month_of is None:
+                self.target.publish(self._merged(self.target.read(), source, workspace))
+            else:
+                self._merge_months(source, workspace)
+            return self._null_keys(source)
+        finally:
+            workspace.drop()
+
+    def _merge_months(self, source: DataFrame, workspace: Workspace) -> None:
+        # The month column is a key, so a match is always in the row's own month.
+        self.target.recover()
+        months = self.target.months_in(source)
+        if months:
+            known = self.target.read(months)
+            self.target.replace_months(self._merged(known, source, workspace))
 
     def _merged(self, target: DataFrame, source: DataFrame, workspace: Workspace) -> DataFrame:
         return merge(

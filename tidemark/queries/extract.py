@@ -53,9 +53,7 @@ def delta_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changed.agg(F.count("*").alias("row_count"))
 
 
-@query(
-    f"SELECT unnest(range(0, (SELECT count(*) FROM events), {STRIDE})) AS page_offset"
-)
+@query(f"SELECT unnest(range(0, (SELECT count(*) FROM events), {STRIDE})) AS page_offset")
 def page_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_offsets(table(spark, sf_dir, "events"), STRIDE)
 
@@ -112,15 +110,18 @@ def delta_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def page_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events_with_update(spark, sf_dir)
-    schema = StructType().add("event_id", "long").add("change", "string").add("changed_at", "timestamp_ntz")
+    schema = StructType().add("event_id", "long").add("change", "string")
+    schema = schema.add("changed_at", "timestamp_ntz")
 
     def change(kind: str, at: str) -> Column:
-        event_id = F.col("event_id").cast("string").alias("event_id")
-        return F.struct(event_id, F.lit(kind).alias("change"), F.col(at).cast("string").alias("changed_at"))
-
-    answers = events.select(
-        F.to_json(F.array(change("created", "ts"), change("updated", "updated"))).alias("body")
-    )
+        return F.struct(
+            F.col("event_id").cast("string").alias("event_id"),
+            F.lit(kind).alias("change"),
+            F.col(at).cast("string").alias("changed_at"),
+        )
+
+    both = F.array(change("created", "ts"), change("updated", "updated"))
+    answers = events.select(F.to_json(both).alias("body"))
     return coerce(flatten_pages(answers, "body", schema), schema)
 
 

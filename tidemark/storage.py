@@ -39,3 +39,13 @@ def replace(spark: SparkSession, source: str, destination: str) -> None:
 def committed(spark: SparkSession, path: str) -> bool:
     """True once the write job into ``path`` has committed."""
     return exists(spark, f"{path}/_SUCCESS")
+
+
+class Folder:
+    """A folder that can still be deleted after its session has stopped."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._fs, self._path = _open(spark, path)
+
+    def delete(self) -> None:
+        self._fs.delete(self._path, True)

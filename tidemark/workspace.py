@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import itertools
 import tempfile
 import uuid
@@ -27,12 +28,17 @@ def shared_root(spark: SparkSession) -> str:
 
 
 class Workspace:
-    """A folder of intermediate tables, one per load or query."""
+    """A folder of intermediate tables, one per load or query.
+
+    It goes when dropped, and at the latest when the process ends.
+    """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = f"{(root or shared_root(spark)).rstrip('/')}/work-{uuid.uuid4().hex}"
         self._numbers = itertools.count()
+        self._folder = storage.Folder(spark, self.root)
+        atexit.register(self._folder.delete)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{next(self._numbers):02d}-{name}"
@@ -44,4 +50,5 @@ class Workspace:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:
-        storage.delete(self.spark, self.root)
+        atexit.unregister(self._folder.delete)
+        self._folder.delete()
