@@ -16,6 +16,7 @@ from tidemark.plans.loads import Loader
 from tidemark.plans.spec import LoadSpec
 from tidemark.sources.snapshot import write_snapshot
 from tidemark.sources.tables import MissingTable, StoredTable
+from tidemark.workspace import shared_root
 
 NAME = "geographic_area_neighborhood_tabulation_area_nta_name"
 POPULATION = "total_population_2010_number"
@@ -292,9 +293,10 @@ def test_hot_month_is_written_by_several_tasks(spark, tmp_path):
     assert table.read().count() == 60_000
 
 
-def test_workspace_is_dropped_after_a_load(site, tmp_path):
+def test_workspace_is_dropped_after_a_load(spark, site):
+    before = storage.child_names(spark, shared_root(spark))
     site.serve([eviction("1")])
     site.loader.full_load("2022-04-05")
     site.serve([eviction("2", created="2022-04-05")], areas=None, since="2022-04-04")
     site.loader.delta_load("2022-04-06")
-    assert list((tmp_path / "lake" / "work").iterdir()) == []
+    assert storage.child_names(spark, shared_root(spark)) == before

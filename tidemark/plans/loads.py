@@ -143,7 +143,7 @@ class Loader:
 
     def merge_staged(self) -> int:
         """Transform what is staged and merge it; returns its number of null-key rows."""
-        workspace = Workspace(self.spark, f"{self.root}/work")
+        workspace = Workspace(self.spark)
         try:
             columns = [quoted(c) for c in self.spec.target_columns]
             source = workspace.store(self.transform().select(*columns), "enriched")

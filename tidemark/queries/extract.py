@@ -18,7 +18,8 @@ from tidemark.sources.snapshot import write_snapshot
 from tidemark.workspace import Workspace
 
 SINCE = "2024-01-28"
-STRIDE = 1000
+STRIDE = 2500
+PAGING = {"page_stride": STRIDE, "pages_per_task": 10}
 
 
 def _updated_at() -> Column:
@@ -63,7 +64,7 @@ def page_scan_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     location = Workspace(spark).path("events")
     write_snapshot(events, location, "event_id")
-    return _read_pages(spark, location, events.schema, page_stride=STRIDE, pages_per_task=5)
+    return _read_pages(spark, location, events.schema, **PAGING)
 
 
 @query(
@@ -82,8 +83,7 @@ def page_scan_strided(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     location = Workspace(spark).path("events")
     write_snapshot(events, location, "event_id")
-    options = {"page_stride": STRIDE, "page_limit": 100, "pages_per_task": 5}
-    return _read_pages(spark, location, events.schema, **options)
+    return _read_pages(spark, location, events.schema, page_limit=100, **PAGING)
 
 
 @query(f"SELECT * FROM events WHERE {CHANGED}")
@@ -93,7 +93,7 @@ def page_scan_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     system = {"created": "ts", "updated": "updated", "hidden": ("updated",)}
     write_snapshot(events, location, "event_id", since=SINCE, **system)
     schema = events.drop("updated").schema
-    return _read_pages(spark, location, schema, since=SINCE, page_stride=STRIDE)
+    return _read_pages(spark, location, schema, since=SINCE, **PAGING)
 
 
 @query(f"SELECT *, ts + to_hours(user_id) AS updated FROM events WHERE {CHANGED}")

@@ -35,7 +35,7 @@ class _Shop:
         self.orders = orders_with_null_keys(spark, sf_dir)
         self.customers = table(spark, sf_dir, "customer")
         self.location = {name: workspace.path(name) for name in ("orders", "customer")}
-        paging = {"client": "snapshot", "page_stride": "20000"}
+        paging = {"client": "snapshot", "page_stride": "25000"}
         spec = LoadSpec(
             main=self._dataset("orders", self.orders, paging),
             reference=self._dataset("customer", self.customers, paging),

@@ -64,8 +64,8 @@ class HttpClient:
         )
 
     def _rows(self, query: dict[str, object]) -> list[dict]:
-        address = f"{self.url}?{urllib.parse.urlencode(query)}"
-        request = urllib.request.Request(address, headers=self._headers)
+        text = urllib.parse.urlencode(query, safe="$:", quote_via=urllib.parse.quote)
+        request = urllib.request.Request(f"{self.url}?{text}", headers=self._headers)
         with urllib.request.urlopen(request, timeout=self.timeout) as response:
             # Number text is kept as sent, so no digits are lost before staging.
             body = json.loads(response.read(), parse_int=str, parse_float=str)
@@ -85,13 +85,16 @@ class SnapshotClient:
     """Pages of a dataset that ``write_snapshot`` put into files in row-id order.
 
     The index gives the rows per file, so a page opens only the row groups it
-    overlaps.
+    overlaps. A client serves one task: it keeps the index and the last row group,
+    which the next page often needs again.
     """
 
     def __init__(self, location: str, columns: list[str]):
         self.location = location
         self.columns = columns
         self.schema = pa.schema([(c, pa.string()) for c in columns])
+        self._index: dict[str | None, list[tuple[str, int]]] = {}
+        self._last: tuple[tuple[str, int], pa.Table] | None = None
 
     def count(self, since: str | None) -> int:
         return sum(rows for _, rows in self._files(since))
@@ -117,18 +120,25 @@ class SnapshotClient:
                 rows = file.metadata.row_group(group).num_rows
                 low, high = max(start - first, 0), min(stop - first, rows)
                 if low < high:
-                    table = file.read_row_group(group, columns=self.columns).select(self.columns)
-                    slices.append(table.slice(low, high - low).cast(self.schema))
+                    slices.append(self._group(file, path, group).slice(low, high - low))
                 first += rows
         return slices
 
+    def _group(self, file: pq.ParquetFile, path: str, group: int) -> pa.Table:
+        if self._last is None or self._last[0] != (path, group):
+            table = file.read_row_group(group, columns=self.columns).select(self.columns)
+            self._last = (path, group), table.cast(self.schema)
+        return self._last[1]
+
     def _files(self, since: str | None) -> list[tuple[str, int]]:
-        fs, folder = _resolve(snapshot_folder(self.location, since))
-        if fs.get_file_info(f"{folder}/index/_SUCCESS").type != pyarrow.fs.FileType.File:
-            raise PageError(f"no snapshot at {folder}")
-        index = pq.read_table(f"{folder}/index", filesystem=fs)
-        index = index.take(pc.sort_indices(index, [("file", "ascending")]))
-        return list(zip(index["file"].to_pylist(), index["rows"].to_pylist()))
+        if since not in self._index:
+            fs, folder = _resolve(snapshot_folder(self.location, since))
+            if fs.get_file_info(f"{folder}/index/_SUCCESS").type != pyarrow.fs.FileType.File:
+                raise PageError(f"no snapshot at {folder}")
+            index = pq.read_table(f"{folder}/index", filesystem=fs)
+            index = index.take(pc.sort_indices(index, [("file", "ascending")]))
+            self._index[since] = list(zip(index["file"].to_pylist(), index["rows"].to_pylist()))
+        return self._index[since]
 
 
 def snapshot_folder(location: str, since: str | None) -> str:

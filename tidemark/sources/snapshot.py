@@ -9,6 +9,9 @@ from tidemark.functions.casts import quoted, text_schema
 from tidemark.operators.changes import changed_since
 from tidemark.sources.clients import snapshot_folder
 
+# Small row groups: a page decodes little beyond its own rows.
+ROWS_PER_GROUP = 10_000
+
 
 def write_snapshot(
     df: DataFrame,
@@ -29,7 +32,8 @@ def write_snapshot(
     served = [c for c in df.columns if c not in hidden]
     # A range partitioned sort: file names follow row-id order.
     ordered = df.orderBy(quoted(row_id)).select(*[quoted(c).cast("string") for c in served])
-    ordered.write.mode("overwrite").parquet(f"{folder}/rows")
+    writer = ordered.write.mode("overwrite")
+    writer.option("parquet.block.row.count.limit", ROWS_PER_GROUP).parquet(f"{folder}/rows")
     rows = df.sparkSession.read.schema(text_schema(ordered.schema)).parquet(f"{folder}/rows")
     index = rows.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("rows"))
     index.write.mode("overwrite").parquet(f"{folder}/index")
