@@ -12,6 +12,7 @@ from tidemark.operators.changes import changed_since
 from tidemark.operators.lookup import add_reference
 from tidemark.operators.merge import merge, shared_keys
 from tidemark.operators.sizes import fits_broadcast, measured_bytes
+from tidemark.session import settings_for, sized_for
 from tidemark.sources import paged
 from tidemark.workspace import Workspace, shared_root
 
@@ -181,6 +182,21 @@ def test_page_plan_covers_every_row():
         assert covered == list(range(rows))
 
 
+def test_partitions_follow_the_input_size(spark):
+    shuffle = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    split = "spark.sql.files.maxPartitionBytes"
+    small = settings_for(spark, 10**6)
+    assert small[shuffle] == "8" and int(small[split]) == 128 * 2**20
+    assert settings_for(spark, 2**40)[shuffle] == "8192"
+    huge = settings_for(spark, 100 * 10**12)
+    assert huge[shuffle] == "65536" and 9e8 < int(huge[split]) <= 2**30
+    before = spark.conf.get(split)
+    with sized_for(spark, 2**40):
+        aggregated = spark.range(10).groupBy(F.col("id") % 3).count()
+        assert ", 8192)" in plan(aggregated)
+    assert spark.conf.get(split) == before and spark.conf.get(shuffle, None) is None
+
+
 def test_text_schema(spark):
     schema = spark.range(1).select("id", F.lit(1.0).alias("x")).schema
     assert text_schema(schema).simpleString() == "struct<id:string,x:string>"

@@ -25,8 +25,9 @@ from tidemark.functions.casts import coerce, coerce_or_reject, quoted, text_sche
 from tidemark.functions.dates import since_date
 from tidemark.operators.lookup import add_reference
 from tidemark.operators.merge import merge
+from tidemark.operators.sizes import estimated_bytes
 from tidemark.plans.spec import Dataset, LoadSpec
-from tidemark.session import require_utc
+from tidemark.session import require_utc, sized_for
 from tidemark.sources import paged
 from tidemark.sources.landing import land, read_landed
 from tidemark.sources.tables import MissingTable, StoredTable
@@ -116,8 +117,8 @@ class Loader:
             self.spec.broadcast_limit,
         )
 
-    def full_load(self, run_date: str | dt.date, concurrent: bool = False) -> LoadReport:
-        """Rebuild staging and target. ``concurrent`` runs the two datasets side by side."""
+    def full_load(self, run_date: str | dt.date, concurrent: bool = True) -> LoadReport:
+        """Rebuild staging and target; ``concurrent`` reads the two datasets side by side."""
         datasets = [self.spec.main, self.spec.reference]
 
         def extract_and_stage(dataset: Dataset) -> None:
@@ -127,7 +128,9 @@ class Loader:
         with ThreadPoolExecutor(max_workers=2 if concurrent else 1) as threads:
             list(threads.map(extract_and_stage, datasets))
         # Merging into an empty target inserts every row.
-        self.target.publish(self.transform())
+        staged = [self.staging(dataset).read() for dataset in datasets]
+        with sized_for(self.spark, sum(map(estimated_bytes, staged))):
+            self.target.publish(self.transform())
         return LoadReport(self._null_keys(self.target.read()), self._rejected(datasets))
 
     def delta_load(
@@ -144,23 +147,32 @@ class Loader:
     def merge_staged(self) -> int:
         """Transform what is staged and merge it; returns its number of null-key rows."""
         workspace = Workspace(self.spark)
+        staged = self.staging(self.spec.main).read()
         try:
-            columns = [quoted(c) for c in self.spec.target_columns]
-            source = workspace.store(self.transform().select(*columns), "enriched")
+            with sized_for(self.spark, estimated_bytes(staged)):
+                columns = [quoted(c) for c in self.spec.target_columns]
+                source = workspace.store(self.transform().select(*columns), "enriched")
             if self.spec.month_of is None:
-                self.target.publish(self._merged(self.target.read(), source, workspace))
+                self._merge_whole(source, workspace)
             else:
                 self._merge_months(source, workspace)
             return self._null_keys(source)
         finally:
             workspace.drop()
 
+    def _merge_whole(self, source: DataFrame, workspace: Workspace) -> None:
+        known = self.target.read()
+        with sized_for(self.spark, estimated_bytes(known) + estimated_bytes(source)):
+            self.target.publish(self._merged(known, source, workspace))
+
     def _merge_months(self, source: DataFrame, workspace: Workspace) -> None:
         # The month column is a key, so a match is always in the row's own month.
         self.target.recover()
         months = self.target.months_in(source)
-        if months:
-            known = self.target.read(months)
+        if not months:
+            return
+        known = self.target.read(months)
+        with sized_for(self.spark, estimated_bytes(known) + estimated_bytes(source)):
             self.target.replace_months(self._merged(known, source, workspace))
 
     def _merged(self, target: DataFrame, source: DataFrame, workspace: Workspace) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -27,3 +30,44 @@ def require_utc(spark: SparkSession) -> None:
     zone = spark.conf.get("spark.sql.session.timeZone")
     if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
         raise ValueError(f"set spark.sql.session.timeZone to UTC for loads (it is {zone})")
+
+
+_MB = 1024 * 1024
+SHUFFLE_PARTITION_BYTES = 128 * _MB
+MAX_SHUFFLE_PARTITIONS = 65_536
+SCAN_SPLIT_BYTES = (128 * _MB, 1024 * _MB)
+SCAN_TASKS = 100_000
+
+
+def settings_for(spark: SparkSession, input_bytes: int) -> dict[str, str]:
+    """Shuffle partitions and scan splits for a job that reads ``input_bytes``.
+
+    Adaptive execution merges partitions that turn out small, so the number to
+    start from may be generous, never below the session's own. It is bounded,
+    as is the number of scan tasks, because the driver tracks their product.
+    """
+    wanted = min(input_bytes // SHUFFLE_PARTITION_BYTES, MAX_SHUFFLE_PARTITIONS)
+    partitions = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    smallest, largest = SCAN_SPLIT_BYTES
+    split = min(max(input_bytes // SCAN_TASKS, smallest), largest)
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(split),
+    }
+
+
+@contextmanager
+def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Run jobs under ``settings_for``; the session's own settings come back after."""
+    settings = settings_for(spark, input_bytes)
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
