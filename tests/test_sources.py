@@ -164,6 +164,35 @@ def test_http_refuses_other_addresses_and_dates(monkeypatch):
         client.count("2022-05-02' OR '1'='1")
 
 
+class PagedRemote(Remote):
+    """Serves ``rows``, honouring limit and offset."""
+
+    def __call__(self, request, timeout):
+        super().__call__(request, timeout)
+        query, _ = self.calls[-1]
+        if "$select" in query:
+            return io.BytesIO(json.dumps([{"count": str(len(self.body))}]).encode())
+        first = int(query["$offset"])
+        page = self.body[first : first + int(query["$limit"])]
+        return io.BytesIO(json.dumps(page).encode())
+
+
+@pytest.mark.parametrize("since", [None, "2022-05-02"])
+def test_reader_over_http(monkeypatch, since):
+    remote = PagedRemote([{"num": n, "name": f"n{n}"} for n in range(35)])
+    monkeypatch.setattr(clients.urllib.request, "urlopen", remote)
+    options = {"location": "https://example.org/rows.json", "token": "t", "page_stride": "10"}
+    if since:
+        options["since"] = since
+    reader = paged.PagedReader(options, text_schema(SCHEMA))
+    pages = reader.partitions()
+    batches = [batch for page in pages for batch in reader.read(page)]
+    assert len(pages) == 4
+    assert [n for batch in batches for n in batch["num"].to_pylist()] == [str(n) for n in range(35)]
+    assert all(headers["X-app-token"] == "t" for _, headers in remote.calls)
+    assert all(("$where" in query) == (since is not None) for query, _ in remote.calls)
+
+
 def test_number_columns_are_refused(spark, pages_35):
     paged.register(spark)
     reader = spark.read.format(paged.FORMAT).schema(SCHEMA)
