@@ -9,6 +9,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from tidemark.operators import sizes
 from tidemark.operators.merge import MultipleMatchError, merge, multi_match_keys
 from tidemark.workspace import Workspace
 
@@ -41,9 +42,9 @@ def run(spark, workspace, target, source, **options):
 
 # Both physical forms: a batch that fits a broadcast, and one that does not.
 @pytest.fixture(params=[64 * 1024 * 1024, 0], ids=["broadcast", "shuffle"])
-def limit(request, spark):
-    if request.param == 0:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def limit(request, spark, monkeypatch):
+    monkeypatch.setattr(sizes, "WORTH_SPARING", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield request.param
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -175,7 +176,8 @@ ROWS = st.tuples(
     suppress_health_check=[HealthCheck.function_scoped_fixture],
 )
 @given(target=st.lists(ROWS, max_size=8), source=st.lists(ROWS, max_size=8))
-def test_against_model(spark, tmp_path, target, source):
+def test_against_model(spark, tmp_path, monkeypatch, target, source):
+    monkeypatch.setattr(sizes, "WORTH_SPARING", 0)
     expected = model(target, source)
     workspace = Workspace(spark, str(tmp_path))
     for limit in (64 * 1024 * 1024, 0):

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.casts import text_schema
+from tidemark.operators import sizes
 from tidemark.operators.changes import changed_since
 from tidemark.operators.lookup import add_reference
 from tidemark.operators.merge import merge, shared_keys
@@ -67,7 +68,15 @@ def hot_and_cold(spark, hot_key):
     return rows.select(key.alias("k"), F.col("id").alias("v"), F.sha2(F.hex("id"), 256).alias("w"))
 
 
-def test_small_reference_is_broadcast_and_main_not_moved(spark, workspace):
+@pytest.fixture
+def any_size(spark, monkeypatch):
+    """Takes the measured way at any size, and keeps Spark from broadcasting by itself."""
+    monkeypatch.setattr(sizes, "WORTH_SPARING", 0)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        yield
+
+
+def test_small_reference_is_broadcast_and_main_not_moved(spark, workspace, any_size):
     main = workspace.store(hot_and_cold(spark, 0), "main")
     reference = workspace.store(spark.range(100).select("id", F.col("id").alias("p")), "ref")
     text = plan(add_reference(main, reference, "k", "id", "p", "p"))
@@ -125,7 +134,7 @@ def test_null_target_keys_are_not_shuffled(spark, workspace, small_partitions):
     assert merged.filter("k is null").count() == HOT_ROWS
 
 
-def test_small_batch_leaves_the_target_in_place(spark, workspace):
+def test_small_batch_leaves_the_target_in_place(spark, workspace, any_size):
     target = workspace.store(hot_and_cold(spark, 0), "target")
     batch = spark.range(10).select(
         F.col("id").alias("k"), F.lit(1).alias("v"), F.lit("x").alias("w")
@@ -158,7 +167,7 @@ def test_change_filter_reaches_the_scan(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in text
 
 
-def test_measured_size_is_an_upper_bound(spark, workspace):
+def test_broadcast_needs_a_measured_bound(spark, workspace, monkeypatch):
     df = spark.createDataFrame(
         [("abc", 1, ("x" * 100, None)), (None, None, None)],
         "s string, n long, box struct<a: string, b: long>",
@@ -166,7 +175,12 @@ def test_measured_size_is_an_upper_bound(spark, workspace):
     assert 103 + 2 * 8 * 5 <= measured_bytes(df) <= 400
     assert measured_bytes(df.select(F.array("n").alias("a"))) is None
     stored = workspace.store(df, "rows")
-    assert fits_broadcast(stored) and not fits_broadcast(stored, 0)
+    assert not fits_broadcast(stored, stored)
+    monkeypatch.setattr(sizes, "WORTH_SPARING", 0)
+    large = workspace.store(hot_and_cold(spark, 0), "large")
+    assert fits_broadcast(stored, large)
+    assert not fits_broadcast(stored, large, 0)
+    assert not fits_broadcast(large, stored)
 
 
 def test_shared_folder_comes_from_the_session(spark):

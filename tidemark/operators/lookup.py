@@ -28,13 +28,14 @@ def add_reference(
     Left outer: a row without a match keeps a struct whose value is null. A name
     with two values gives two rows.
 
-    A reference within the limit is broadcast and ``main`` is not moved. Beyond
-    it both sides are shuffled on the name; adaptive execution splits the
-    partition of a name, or of null, that holds much of ``main``.
+    A reference whose measured size is within the limit is broadcast, so that a
+    large ``main`` is not moved. Otherwise Spark chooses; in a shuffled join,
+    adaptive execution splits the partition of a name, or of null, that holds
+    much of ``main``.
     """
     raw = reference.select(quoted(reference_name), quoted(reference_value))
     # Measured before duplicates go: a scan without a shuffle, and still an upper bound.
-    small = fits_broadcast(raw, broadcast_limit)
+    small = fits_broadcast(raw, main, broadcast_limit)
     pairs = reference_values(reference, reference_name, reference_value)
     pairs = pairs.select(F.col("name").alias("__name"), F.col("value").alias("__value"))
     joined = main.join(broadcast_if(pairs, small), quoted(column) == F.col("__name"), "left")

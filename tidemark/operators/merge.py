@@ -56,7 +56,7 @@ def shared_keys(
     theirs = source.select(*[quoted(k) for k in keys])
     if not null_safe_keys:
         ours, theirs = ours.filter(~_any_null(keys)), theirs.filter(~_any_null(keys))
-    if source_is_small or fits_broadcast(theirs, broadcast_limit, to_spare=ours):
+    if source_is_small or fits_broadcast(theirs, ours, broadcast_limit):
         # Only target keys that the batch mentions need to be shuffled.
         batch = F.broadcast(_prefixed(theirs, keys, "__"))
         ours = ours.join(batch, _same_key(keys, "__", null_safe_keys), "left_semi")
@@ -105,7 +105,7 @@ def merge(
         source = workspace.store(source, "source")
 
     # A batch that fits a broadcast bounds its keys and its updates as well.
-    small = fits_broadcast(source, broadcast_limit, to_spare=target)
+    small = fits_broadcast(source, target, broadcast_limit)
     matched = workspace.store(
         shared_keys(target, source, keys, null_safe_keys, broadcast_limit, small), "matched"
     )
@@ -119,7 +119,7 @@ def merge(
 
     keyed = source if null_safe_keys else source.filter(~_any_null(keys))
     hit_keys = _prefixed(matched, keys, "__")
-    hit_keys = broadcast_if(hit_keys, small or fits_broadcast(hit_keys, broadcast_limit, keyed))
+    hit_keys = broadcast_if(hit_keys, small or fits_broadcast(hit_keys, keyed, broadcast_limit))
     hit = _same_key(keys, "__", null_safe_keys)
     updates = keyed.join(hit_keys, hit, "left_semi")
     inserts = keyed.join(hit_keys, hit, "left_anti")
@@ -128,7 +128,7 @@ def merge(
 
     if not small:
         updates = workspace.store(updates, "updates")
-        small = fits_broadcast(updates, broadcast_limit, to_spare=target)
+        small = fits_broadcast(updates, target, broadcast_limit)
     new = _prefixed(updates, columns, "__new_").withColumn("__hit", F.lit(True))
     new = broadcast_if(new, small)
     untouched = None

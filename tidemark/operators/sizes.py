@@ -19,6 +19,8 @@ from pyspark.sql.types import (
 from tidemark.functions.casts import quoted
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
+# Below this, shuffling a side costs less than measuring the other one.
+WORTH_SPARING = 64 * 1024 * 1024
 _WORD = 8
 
 
@@ -52,21 +54,17 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def fits_broadcast(
-    df: DataFrame, limit: int = BROADCAST_LIMIT, to_spare: DataFrame | None = None
-) -> bool:
-    """True if the measured size of ``df`` is within ``limit``.
+def fits_broadcast(df: DataFrame, to_spare: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
+    """True if ``df`` is to be broadcast so that ``to_spare`` need not be shuffled.
 
-    ``to_spare`` is the side that would not have to be shuffled then; where it is
-    no larger than ``df``, a broadcast does not pay. The estimate saves measuring
-    data that is plainly too large.
+    Its measured size must be within ``limit`` and below that of the side spared.
+    Estimates come first: they save measuring where the answer is plain.
     """
-    if estimated_bytes(df) > limit:
+    spared = estimated_bytes(to_spare)
+    if spared < WORTH_SPARING or estimated_bytes(df) > limit:
         return False
     size = measured_bytes(df)
-    if size is None or size > limit:
-        return False
-    return to_spare is None or size <= estimated_bytes(to_spare)
+    return size is not None and size <= min(limit, spared)
 
 
 def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
