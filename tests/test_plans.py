@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,6 +155,15 @@ def test_keys_are_counted_before_the_shuffle(spark, workspace):
     assert "ReadSchema: struct<k:bigint>" in text
 
 
+def test_instants_are_stored_with_bounds(spark, workspace):
+    stored = workspace.store(spark.sql("select timestamp '2024-01-01 00:00:00' as at"), "at")
+    text = plan(stored.filter("at is null"))
+    assert "PushedFilters: [IsNull(at)]" in text
+    (path,) = [p for p in stored.inputFiles() if p.endswith(".parquet")]
+    column = pq.ParquetFile(path.removeprefix("file://")).metadata.row_group(0).column(0)
+    assert column.physical_type == "INT64" and column.statistics.null_count == 0
+
+
 def test_distinct_is_pre_aggregated(spark, workspace):
     rows = workspace.store(hot_and_cold(spark, 0), "rows")
     text = plan(rows.distinct())

@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 SETTINGS = {
     # Instants are stored and compared in UTC.
     "spark.sql.session.timeZone": "UTC",
+    # Instants as 64-bit integers: files then carry their bounds and null counts.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # Runtime re-planning: coalesce small shuffle partitions, split skewed ones.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
