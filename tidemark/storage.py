@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 
@@ -10,6 +11,12 @@ def _open(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of its file system, for readers outside Hadoop."""
+    fs, hadoop_path = _open(spark, path)
+    return fs.makeQualified(hadoop_path).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, hadoop_path = _open(spark, path)
     return fs.exists(hadoop_path)
@@ -49,3 +56,9 @@ class Folder:
 
     def delete(self) -> None:
         self._fs.delete(self._path, True)
+
+    def delete_at_exit(self) -> None:
+        try:
+            self.delete()
+        except (Py4JError, OSError):
+            pass  # the JVM has gone first

@@ -19,12 +19,12 @@ def shared_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     configured = configured or spark.sparkContext.getCheckpointDir()
     if configured:
-        return configured.rstrip("/")
+        return storage.qualified(spark, configured)
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not _local_folders:
         _local_folders.append(tempfile.TemporaryDirectory(prefix="tidemark-"))
-    return _local_folders[0].name
+    return storage.qualified(spark, _local_folders[0].name)
 
 
 class Workspace:
@@ -35,10 +35,10 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        self.root = f"{(root or shared_root(spark)).rstrip('/')}/work-{uuid.uuid4().hex}"
+        self.root = f"{root or shared_root(spark)}/work-{uuid.uuid4().hex}"
         self._numbers = itertools.count()
         self._folder = storage.Folder(spark, self.root)
-        atexit.register(self._folder.delete)
+        atexit.register(self._folder.delete_at_exit)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{next(self._numbers):02d}-{name}"
@@ -50,5 +50,5 @@ class Workspace:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:
-        atexit.unregister(self._folder.delete)
+        atexit.unregister(self._folder.delete_at_exit)
         self._folder.delete()
