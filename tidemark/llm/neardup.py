@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -35,6 +36,10 @@ from tidemark.operators.sizes import broadcast_if, fits_broadcast
 from tidemark.workspace import Workspace
 
 
+# What is left of a bucket is finished in one task up to so many shingles in all.
+TASK_SHINGLES = 1_000_000
+
+
 @dataclass(frozen=True)
 class Settings:
     """``words`` per shingle; documents are linked from ``percent`` similarity on.
@@ -142,9 +147,36 @@ def _judged(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _peel(percent: int):
+    """All rounds of one small bucket: the same stars, compared where its members are."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.drop_duplicates("a").sort_values("a")
+        key, ids, sets = rows["key"].iloc[0], rows["a"].to_numpy(), list(rows["shingles"])
+        left, out = list(range(len(ids))), []
+        while len(left) > 1:
+            centre, *others = left
+            left = []
+            for x in others:
+                shared = len(np.intersect1d(sets[x], sets[centre], assume_unique=True))
+                union = len(sets[x]) + len(sets[centre]) - shared
+                near = 100 * shared >= percent * union
+                out.append((key, ids[x], ids[centre], near, 1 - shared / union))
+                if not near:
+                    left.append(x)
+        return pd.DataFrame(out, columns=["key", "a", "b", "near", "gap"])
+
+    return run
+
+
 def _links(buckets: DataFrame, sets: DataFrame, percent: int, workspace: Workspace) -> DataFrame:
-    """Confirmed links ``(a, b)`` that join all members of ``(key, a)`` which belong together."""
+    """Confirmed links ``(a, b)`` that join all members of ``(key, a)`` which belong together.
+
+    The first round goes over all buckets as joins. What is left of a bucket is finished in
+    one task if its sets are small together; otherwise it takes another such round.
+    """
     limit = 1 - percent / 100
+    known_schema = "key bigint, a bigint, b bigint, near boolean, gap double"
     todo, rounds = buckets, []
     while True:
         centres = todo.groupBy("key").agg(F.min("a").alias("b"), F.count("*").alias("n"))
@@ -154,14 +186,22 @@ def _links(buckets: DataFrame, sets: DataFrame, percent: int, workspace: Workspa
             break
         judged = _judged(star.select("a", "b").distinct(), sets, percent)
         judged = workspace.store(judged, "judged")
-        known = star.join(judged, ["a", "b"])
-        rounds.append((known, judged))
-        todo = workspace.store(known.filter("not near").select("key", "a"), "left")
+        known = workspace.store(star.join(judged, ["a", "b"]), "known")
+        left = known.filter("not near").select("key", "a")
+        sized = left.join(sets.select(F.col("rid").alias("a"), F.size("shingles").alias("size")), "a")
+        totals = sized.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+        totals = workspace.store(totals.filter("n > 1"), "totals")
+        small = left.join(totals.filter(F.col("size") <= TASK_SHINGLES).select("key"), "key")
+        held = small.join(sets.withColumnRenamed("rid", "a"), "a").select("key", "a", "shingles")
+        peeled = workspace.store(held.groupBy("key").applyInPandas(_peel(percent), known_schema), "peeled")
+        rounds += [known.select("key", "a", "b", "near", "gap"), peeled]
+        large = totals.filter(F.col("size") > TASK_SHINGLES).select("key")
+        todo = workspace.store(left.join(large, "key"), "left")
     if not rounds:
         return buckets.select("a", F.col("a").alias("b")).limit(0)
-    links = reduce(DataFrame.unionAll, [judged for _, judged in rounds]).filter("near")
-    links = links.select("a", "b")
-    fringe = _fringe(reduce(DataFrame.unionAll, [known for known, _ in rounds]), links, limit, workspace)
+    known = reduce(DataFrame.unionAll, rounds)
+    links = workspace.store(known.filter("near").select("a", "b").distinct(), "links")
+    fringe = _fringe(known, links, limit, workspace)
     found = workspace.store(_judged(fringe, sets, percent).filter("near").select("a", "b"), "fringe")
     return links.unionAll(found)
 

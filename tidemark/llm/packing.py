@@ -40,7 +40,7 @@ class WordTokenizer:
     hold the separator, and tokenizers of other kinds, take the plain way.
     """
 
-    KEEP = 250_000
+    KEEP = 450_000
     SEPARATOR = "\x01"
     MARKS = ".,;:!?"
 
@@ -77,30 +77,24 @@ class WordTokenizer:
         return [raw[a:b] for a, b in zip(starts, stops)]
 
     def _learn(self, words: set[str]) -> None:
-        tails: list[tuple[str, str]] = []
-        missing = set()
-        for word in words:
-            if word in self.old:
-                self.new[word] = self.old[word]
-                continue
-            core = word[:-1]
-            if word[-1] in self.marks and core.isalpha():
-                tails.append((word, core))
-                if core not in self.new:
-                    if core in self.old:
-                        self.new[core] = self.old[core]
-                    else:
-                        missing.add(core)
-            else:
-                missing.add(word)
-        odd = {w for w in missing if self.SEPARATOR in w}
+        known = words & self.old.keys()
+        self.new.update((word, self.old[word]) for word in known)
+        words -= known
+        # A mark behind letters is a token run of its own, so the letters are looked up alone.
+        tails = [word for word in words if word[-1] in self.marks and word[:-1].isalpha()]
+        missing = words.difference(tails)
+        cores = {word[:-1] for word in tails} - self.new.keys()
+        known = cores & self.old.keys()
+        self.new.update((word, self.old[word]) for word in known)
+        missing |= cores - known
+        odd = {word for word in missing if self.SEPARATOR in word}
         plain = list(missing - odd)
         for i in range(0, len(plain), 2000):
             self.new.update(zip(plain[i : i + 2000], self._batch(plain[i : i + 2000])))
         for word in odd:
             self.new[word] = np.array(self._plain(word), np.uint32).tobytes()
-        for word, core in tails:
-            self.new[word] = self.new[core] + self.marks[word[-1]]
+        new, marks = self.new, self.marks
+        self.new.update([(word, new[word[:-1]] + marks[word[-1]]) for word in tails])
 
     @staticmethod
     def _lowered(text: str) -> str | None:
@@ -118,7 +112,7 @@ class WordTokenizer:
             return [np.array(self._plain(text), np.uint32).tobytes() for text in texts]
         lowered = [self._lowered(text) for text in texts]
         words = [[] if low is None else low.split() for low in lowered]
-        self._learn({word for own in words for word in own if word not in self.new})
+        self._learn(set().union(*words) - self.new.keys())
         get = self.new.__getitem__
         out = [
             np.array(self._plain(text), np.uint32).tobytes() if low is None else b"".join(map(get, own))
