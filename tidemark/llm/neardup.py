@@ -10,9 +10,9 @@ is the member that shares buckets with most others. Members near it have their
 link. The others are compared where they lie in different components: in one task if
 they are few, else in finer buckets with centres of their own. Distance (one minus
 similarity) is a metric, so a linked pair of which a star has taken only one lies at
-the fringe: one is near the centre, the other within twice the distance limit, and
-their distances to it differ by the limit at most. Those pairs are compared too, where
-they would join two components. Links are confirmed on whole sets.
+the fringe: one is near the centre, the other within twice the distance limit. What
+they may share, by their sets and the centre's, decides which of those pairs are
+compared too, where they would join two components. Links are confirmed on whole sets.
 
 Equal sets are one node from the start, so groups of copies cost nothing.
 """
@@ -139,16 +139,15 @@ def _shingle_sets(words: int):
 
 
 def _judged(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` with ``near`` and their distance ``gap``, from the whole sets."""
+    """Pairs ``(a, b)`` with shared shingles ``s``, sizes ``na, nb``, ``near`` and distance ``gap``."""
     left = sets.select(F.col("rid").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("rid").alias("b"), F.col("shingles").alias("sb"))
     joined = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("sa", "sb"))
-    counted = joined.select("a", "b", shared.alias("s"), (F.size("sa") + F.size("sb")).alias("t"))
-    union = F.col("t") - F.col("s")
-    return counted.select(
-        "a", "b", (100 * F.col("s") >= percent * union).alias("near"), (1 - F.col("s") / union).alias("gap")
-    )
+    counted = joined.select("a", "b", shared.alias("s"), F.size("sa").alias("na"), F.size("sb").alias("nb"))
+    union = F.col("na") + F.col("nb") - F.col("s")
+    near = (100 * F.col("s") >= percent * union).alias("near")
+    return counted.select("*", near, (1 - F.col("s") / union).alias("gap"))
 
 
 def _finish(percent: int):
@@ -210,8 +209,8 @@ def _links(
         if star.isEmpty():
             break
         judged = workspace.store(_judged(star.select("a", "b").distinct(), sets, percent), "judged")
-        known = workspace.store(star.join(judged, ["a", "b"]), "known")
-        known_rounds.append(known.select("key", "a", "b", "near", "gap"))
+        known_rounds.append(judged)
+        known = star.join(judged, ["a", "b"])
         link_rounds.append(judged.filter("near").select("a", "b"))
         links = workspace.store(reduce(DataFrame.unionAll, link_rounds), "links")
         left = _rooted(known.filter("not near").select("key", "last", "a"), components(links, workspace), "a", "root")
@@ -235,26 +234,48 @@ def _links(
     if not known_rounds:
         return buckets.select("a", F.col("a").alias("b")).limit(0)
     links = workspace.store(reduce(DataFrame.unionAll, link_rounds).distinct(), "links")
-    known = reduce(DataFrame.unionAll, known_rounds)
-    fringe = _fringe(known, links, 1 - percent / 100, workspace)
+    known = reduce(DataFrame.unionAll, known_rounds).distinct()
+    fringe = _fringe(known, links, sets, percent, workspace)
     found = workspace.store(_judged(fringe, sets, percent).filter("near").select("a", "b"), "fringe")
     return links.unionAll(found)
 
 
-def _fringe(known: DataFrame, links: DataFrame, limit: float, workspace: Workspace) -> DataFrame:
-    """Pairs of one bucket that no star compared, could be linked, and would join two components."""
+def _fringe(
+    known: DataFrame, links: DataFrame, sets: DataFrame, percent: int, workspace: Workspace
+) -> DataFrame:
+    """Pairs around one centre that no star compared, could be linked, and would join two components.
+
+    Of x outside and y near centre c, at most min(|x & c|, |y & c|) shared shingles lie in c.
+    So x and y are compared only if that is enough, or if they share shingles outside c.
+    """
     roots = components(links, workspace)
-    slack = limit + 1e-9
-    outer = known.filter((~F.col("near")) & (F.col("gap") <= 2 * slack))
-    outer = _rooted(_rooted(outer, roots, "a", "ra"), roots, "b", "rb")
-    outer = outer.filter("ra != rb").select(
-        "key", F.col("b").alias("centre"), F.col("a").alias("x"), F.col("gap").alias("gx")
-    )
-    inner = known.filter("near").select(
-        "key", F.col("b").alias("centre"), F.col("a").alias("y"), F.col("gap").alias("gy")
+    slack = 2 * (1 - percent / 100) + 1e-9
+    outer = known.filter((~F.col("near")) & (F.col("gap") <= slack))
+    outer = _rooted(_rooted(outer, roots, "a", "ra"), roots, "b", "rb").filter("ra != rb")
+    outer = workspace.store(
+        outer.select(F.col("b").alias("c"), F.col("a").alias("x"), F.col("s").alias("sx"), F.col("na").alias("nx")),
+        "outer",
     )
-    pairs = outer.join(inner, ["key", "centre"]).filter(F.col("gx") - F.col("gy") <= slack)
-    return pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+    inner = known.filter("near").join(outer.select(F.col("c").alias("b")).distinct(), "b", "left_semi")
+    inner = inner.select(F.col("b").alias("c"), F.col("a").alias("y"), F.col("s").alias("sy"), F.col("na").alias("ny"))
+    enough = (100 + percent) * F.least("sx", "sy") >= percent * (F.col("nx") + F.col("ny"))
+    # Only texts shorter than the centre can do without others' shingles.
+    least = (100 + percent) * F.col("sx") >= percent * F.col("nx")
+    inside = outer.filter(least).join(inner, "c").filter(enough).select("x", "y")
+
+    def beyond(df: DataFrame, node: str) -> DataFrame:
+        own = sets.select(F.col("rid").alias(node), F.col("shingles").alias("own"))
+        core = sets.select(F.col("rid").alias("c"), F.col("shingles").alias("core"))
+        both = df.select("c", node).join(own, node).join(core, "c")
+        return both.select("c", node, F.explode(F.array_except("own", "core")).alias("shingle"))
+
+    outside = beyond(outer, "x").join(beyond(inner, "y"), ["c", "shingle"])
+    counted = outside.groupBy("c", "x", "y").agg(F.count("*").alias("n"))
+    reach = counted.join(outer, ["c", "x"]).join(inner, ["c", "y"])
+    most = F.col("n") + F.least("sx", "sy")
+    reach = reach.filter((100 + percent) * most >= percent * (F.col("nx") + F.col("ny"))).select("x", "y")
+    pairs = inside.unionAll(reach).distinct()
+    return pairs.select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
 def near_duplicates(
