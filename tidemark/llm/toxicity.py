@@ -2,8 +2,8 @@
 
 A text's features are the hashes of its character n-grams, blanks marking where words
 begin and end. Their embeddings are averaged, and a linear layer with a softmax gives the
-probability. Embeddings and layer are trained jointly, in numpy on the driver, from a
-bounded sample of labelled rows. An unseen misspelling shares most of its n-grams with the
+probability. Embeddings and layer are trained jointly, in numpy in one task, from a
+bounded sample of labelled rows; only the finished model reaches the driver. An unseen misspelling shares most of its n-grams with the
 word it hides, and so their vectors.
 
 Scoring runs where the documents are, over whole texts; the model is of fixed size.
@@ -179,9 +179,26 @@ def fit(
     ]
     few = F.broadcast(chosen[0].unionAll(chosen[1]))
     texts = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text")).filter("text is not null")
-    table = texts.join(few, "id").orderBy("id", "text", "y").limit(settings.sample).toArrow()
-    rows = [text.encode() for text in table["text"].to_pylist()]
-    return train(rows, table["y"].to_pylist(), settings)
+    sample = texts.join(few, "id").orderBy("id", "text", "y").limit(settings.sample)
+    trained = map_batches(sample.select("text", "y"), _trained(settings), "weights binary, bias double")
+    found = trained.first()
+    if found is None:
+        return train([], [], settings)
+    return Model(settings, np.frombuffer(found["weights"], np.float64), found["bias"])
+
+
+def _trained(settings: Settings):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, labels = [], []
+        for batch in batches:
+            texts += [text.encode() for text in batch.column(0).to_pylist()]
+            labels += batch.column(1).to_pylist()
+        if texts:
+            model = train(texts, labels, settings)
+            weights = pa.array([model.weights.tobytes()], pa.binary())
+            yield pa.RecordBatch.from_arrays([weights, pa.array([model.bias])], ["weights", "bias"])
+
+    return run
 
 
 def held_out(ids) -> F.Column:
