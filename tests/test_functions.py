@@ -23,6 +23,22 @@ def test_look_back_is_the_lower_bound():
     assert since_date(dt.date(2022, 1, 1), "1") == "2021-12-31"
 
 
+def test_run_date_with_a_time_counts_as_its_day():
+    assert since_date(dt.datetime(2022, 5, 4, 6), 2) == "2022-05-02"
+    assert landing_path("/out", "x", dt.datetime(2022, 5, 4, 6)) == "/out/x/2022/5/4"
+
+
+def test_negative_look_back_is_refused():
+    with pytest.raises(ValueError, match="negative"):
+        since_date("2022-05-04", -1)
+
+
+def test_strict_cast_checks_columns_that_are_not_used(spark):
+    rows = coerce(raw(spark, [("x1", "x", None)]), NUMBERS)
+    with pytest.raises(Exception, match="cannot read 'x1'"):
+        rows.select("name").collect()
+
+
 def test_bad_run_date_is_refused():
     with pytest.raises(ValueError):
         since_date("04/05/2022", 2)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import io
 import json
+import urllib.error
 import urllib.parse
 
 import pytest
@@ -53,9 +54,9 @@ def test_several_pages_per_task(spark, pages_35):
     assert df.select(F.spark_partition_id()).distinct().count() == 2
 
 
-def test_limit_below_stride_leaves_rows_unread(spark, pages_35):
-    got = [int(r["num"]) for r in read(spark, pages_35, page_stride=10, page_limit=1).collect()]
-    assert sorted(got) == [0, 10, 20, 30]
+def test_limit_below_stride_reads_every_row(spark, pages_35):
+    got = [int(r["num"]) for r in read(spark, pages_35, page_stride=10, page_limit=3).collect()]
+    assert sorted(got) == list(range(35))
 
 
 @pytest.mark.parametrize("options", [{"page_stride": 10, "page_limit": 11}, {"page_stride": 0}])
@@ -193,6 +194,39 @@ def test_reader_over_http(monkeypatch, since):
     assert all(("$where" in query) == (since is not None) for query, _ in remote.calls)
 
 
+def test_service_maximum_below_the_stride(monkeypatch):
+    class Few(PagedRemote):
+        def __call__(self, request, timeout):
+            answer = super().__call__(request, timeout)
+            rows = json.loads(answer.read())
+            return io.BytesIO(json.dumps(rows[:4]).encode())
+
+    remote = Few([{"num": n, "name": f"n{n}"} for n in range(35)])
+    monkeypatch.setattr(clients.urllib.request, "urlopen", remote)
+    options = {"location": "https://example.org/rows.json", "page_stride": "10"}
+    reader = paged.PagedReader(options, text_schema(SCHEMA))
+    batches = [batch for page in reader.partitions() for batch in reader.read(page)]
+    assert [n for batch in batches for n in batch["num"].to_pylist()] == [str(n) for n in range(35)]
+    remote.body = remote.body[:20]
+    with pytest.raises(PageError, match="no rows from 20"):
+        list(reader.read(paged.PageRange(10, 35)))
+
+
+def test_busy_service_is_asked_again(monkeypatch):
+    waits, answers = [], [429, 503, 200]
+
+    def opened(request, timeout):
+        code = answers.pop(0)
+        if code != 200:
+            raise urllib.error.HTTPError(request.full_url, code, "busy", {"Retry-After": "7"}, None)
+        return io.BytesIO(b'[{"count": "35"}]')
+
+    monkeypatch.setattr(clients.urllib.request, "urlopen", opened)
+    monkeypatch.setattr(clients.time, "sleep", waits.append)
+    assert HttpClient("https://example.org/rows.json", ["num"]).count(None) == 35
+    assert waits == [7, 7]
+
+
 def test_number_columns_are_refused(spark, pages_35):
     paged.register(spark)
     reader = spark.read.format(paged.FORMAT).schema(SCHEMA)

@@ -24,29 +24,34 @@ def _unreadable(name: str, kind: DataType) -> Column:
     return quoted(name).isNotNull() & quoted(name).try_cast(kind).isNull()
 
 
-def checked_cast(name: str, kind: DataType) -> Column:
-    """Cast one text column; text that does not fit the type fails the job.
-
-    The check does not lean on ANSI mode, which a session may have turned off.
-    """
-    if isinstance(kind, StringType):
-        return quoted(name)
-    message = F.concat(
+def _refusal(name: str, kind: DataType) -> Column:
+    return F.concat(
         F.lit(f"column {name}: cannot read '"),
         quoted(name),
         F.lit(f"' as {kind.simpleString()}"),
     )
-    refuse = F.when(quoted(name).isNotNull(), F.raise_error(message))
-    return F.coalesce(quoted(name).try_cast(kind), refuse).alias(name)
 
 
 def coerce(raw: DataFrame, schema: StructType) -> DataFrame:
-    """Strict form: any unreadable line or value is an error."""
+    """Strict form: any unreadable line or value is an error.
+
+    The check is a filter, so it stands whichever columns are used later, and it does not
+    lean on ANSI mode, which a session may have turned off.
+    """
     if CORRUPT in raw.columns:
         broken = quoted(CORRUPT).isNotNull()
         message = F.concat(F.lit("unreadable line: "), quoted(CORRUPT))
         raw = raw.filter(F.when(broken, F.raise_error(message).cast("boolean")).otherwise(True))
-    return raw.select(*[checked_cast(field.name, field.dataType) for field in schema])
+    typed = [field for field in schema if not isinstance(field.dataType, StringType)]
+    if typed:
+        refuse = F.lit(True)
+        for field in reversed(typed):
+            refused = F.raise_error(_refusal(field.name, field.dataType)).cast("boolean")
+            refuse = F.when(_unreadable(field.name, field.dataType), refused).otherwise(refuse)
+        raw = raw.filter(refuse)
+    return raw.select(
+        *[quoted(field.name).try_cast(field.dataType).alias(field.name) for field in schema]
+    )
 
 
 def coerce_or_reject(raw: DataFrame, schema: StructType) -> tuple[DataFrame, DataFrame]:

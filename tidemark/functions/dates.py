@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 
 def as_date(day: str | dt.date) -> dt.date:
+    if isinstance(day, dt.datetime):
+        return day.date()
     return day if isinstance(day, dt.date) else dt.datetime.strptime(day, "%Y-%m-%d").date()
 
 
@@ -18,6 +20,8 @@ def since_date(run_date: str | dt.date, days_ago: int | str | None) -> str | Non
     Blank and zero both mean a full read.
     """
     days = int(days_ago) if days_ago else 0
+    if days < 0:
+        raise ValueError(f"a look-back cannot be negative: {days}")
     if not days:
         return None
     return (as_date(run_date) - dt.timedelta(days=days)).isoformat()

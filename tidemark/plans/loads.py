@@ -18,6 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -121,6 +122,7 @@ class Loader:
         """Rebuild staging and target; ``concurrent`` reads the two datasets side by side."""
         datasets = [self.spec.main, self.spec.reference]
 
+        @inheritable_thread_target(self.spark)
         def extract_and_stage(dataset: Dataset) -> None:
             self.extract(dataset, run_date)
             self.stage(dataset, run_date)
@@ -161,6 +163,8 @@ class Loader:
             workspace.drop()
 
     def _merge_whole(self, source: DataFrame, workspace: Workspace) -> None:
+        if source.isEmpty():
+            return
         known = self.target.read()
         with sized_for(self.spark, estimated_bytes(known) + estimated_bytes(source)):
             self.target.publish(self._merged(known, source, workspace))

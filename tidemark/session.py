@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+ACCURATE_SKEW = "spark.shuffle.accurateBlockSkewedFactor"
+
 SETTINGS = {
     # Instants are stored and compared in UTC.
     "spark.sql.session.timeZone": "UTC",
@@ -17,6 +20,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Above 2,000 shuffle partitions only average block sizes are kept, but for blocks this
+    # many times the median: without it a hot key cannot be seen, nor split.
+    ACCURATE_SKEW: "5",
 }
 
 
@@ -39,6 +45,10 @@ SHUFFLE_PARTITION_BYTES = 128 * _MB
 MAX_SHUFFLE_PARTITIONS = 65_536
 SCAN_SPLIT_BYTES = (128 * _MB, 1024 * _MB)
 SCAN_TASKS = 100_000
+# Blocks of one shuffle, map times reduce tasks, that the driver is to keep track of.
+SHUFFLE_BLOCKS = 1_000_000_000
+# Beyond so many partitions Spark compresses block sizes to an average.
+EXACT_PARTITIONS = 2_000
 
 
 def settings_for(spark: SparkSession, input_bytes: int) -> dict[str, str]:
@@ -48,10 +58,13 @@ def settings_for(spark: SparkSession, input_bytes: int) -> dict[str, str]:
     start from may be generous, never below the session's own. It is bounded,
     as is the number of scan tasks, because the driver tracks their product.
     """
-    wanted = min(input_bytes // SHUFFLE_PARTITION_BYTES, MAX_SHUFFLE_PARTITIONS)
-    partitions = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
     smallest, largest = SCAN_SPLIT_BYTES
     split = min(max(input_bytes // SCAN_TASKS, smallest), largest)
+    tracked = SHUFFLE_BLOCKS // max(1, input_bytes // split)
+    wanted = min(input_bytes // SHUFFLE_PARTITION_BYTES, MAX_SHUFFLE_PARTITIONS, tracked)
+    partitions = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if partitions > EXACT_PARTITIONS and not spark.conf.get(ACCURATE_SKEW, None):
+        warnings.warn(f"set {ACCURATE_SKEW}, or hot keys stay unsplit", stacklevel=2)
     return {
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(split),

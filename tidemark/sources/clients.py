@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import time
+import urllib.error
 import urllib.parse
 import urllib.request
 from typing import Protocol
@@ -26,6 +28,12 @@ UPDATED_AT = ":updated_at"
 TOKEN_HEADER = "X-App-Token"
 
 
+# Answers that a later call may mend, and seconds to wait before each further call.
+RETRIED = (429, 500, 502, 503, 504)
+WAITS = (1, 4, 16)
+LONGEST_WAIT = 120
+
+
 class PageError(RuntimeError):
     """The remote answered with something other than a list of rows."""
 
@@ -43,7 +51,7 @@ def _as_text(value: object) -> str | None:
 
 
 class HttpClient:
-    """Pages over HTTP. A failed call raises, and Spark retries the task."""
+    """Pages over HTTP. A call that keeps failing raises, and Spark retries the task."""
 
     def __init__(self, url: str, columns: list[str], token: str | None = None, timeout: int = 300):
         if urllib.parse.urlsplit(url).scheme not in ("http", "https"):
@@ -66,14 +74,27 @@ class HttpClient:
     def _rows(self, query: dict[str, object]) -> list[dict]:
         text = urllib.parse.urlencode(query, safe="$:", quote_via=urllib.parse.quote)
         request = urllib.request.Request(f"{self.url}?{text}", headers=self._headers)
-        with urllib.request.urlopen(request, timeout=self.timeout) as response:
-            # Number text is kept as sent, so no digits are lost before staging.
-            body = json.loads(response.read(), parse_int=str, parse_float=str)
+        # Number text is kept as sent, so no digits are lost before staging.
+        body = json.loads(self._fetch(request), parse_int=str, parse_float=str)
         if not isinstance(body, list):
             raise PageError(f"{self.url} answered with {str(body)[:500]}")
         return body
 
 
+    def _fetch(self, request: urllib.request.Request) -> bytes:
+        """The answer; a busy or failing service is asked again after a growing wait."""
+        for wait in (*WAITS, None):
+            try:
+                with urllib.request.urlopen(request, timeout=self.timeout) as response:
+                    return response.read()
+            except urllib.error.HTTPError as error:
+                if wait is None or error.code not in RETRIED:
+                    raise
+                asked = error.headers.get("Retry-After", "")
+                time.sleep(min(int(asked) if asked.isdigit() else wait, LONGEST_WAIT))
+        raise AssertionError("unreachable")
+
+
 def _where(since: str | None) -> dict[str, str]:
     if since is None:
         return {}

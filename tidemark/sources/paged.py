@@ -4,10 +4,11 @@ Options
     client          ``http`` or ``snapshot``
     location        address of the service, or folder of the snapshot
     token           access token sent with every call (http)
+    timeout         seconds that one call may take (http, 300)
     since           ISO date; read only rows changed since then
     page_stride     rows from one page start to the next (100000)
-    page_limit      rows asked for per page (the stride). A smaller limit leaves
-                    the rest of every stride unread.
+    page_limit      rows asked for by one call (the stride). Calls go on until the
+                    stride is covered, also where the service returns fewer.
     pages_per_task  consecutive pages read by one task (1)
 """
 
@@ -23,7 +24,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StringType, StructType
 
 import tidemark
-from tidemark.sources.clients import HttpClient, PageClient, SnapshotClient
+from tidemark.sources.clients import HttpClient, PageClient, PageError, SnapshotClient
 
 FORMAT = "paged"
 DEFAULT_STRIDE = 100_000
@@ -52,6 +53,7 @@ class PagedReader(DataSourceReader):
         self.kind = options.get("client", "http")
         self.location = options["location"]
         self.token = options.get("token")
+        self.timeout = int(options.get("timeout", 300))
         self.since = options.get("since") or None
         self.stride = int(options.get("page_stride", DEFAULT_STRIDE))
         self.limit = int(options.get("page_limit", self.stride))
@@ -61,7 +63,7 @@ class PagedReader(DataSourceReader):
 
     def _client(self) -> PageClient:
         if self.kind == "http":
-            return HttpClient(self.location, self.columns, self.token)
+            return HttpClient(self.location, self.columns, self.token, self.timeout)
         if self.kind == "snapshot":
             return SnapshotClient(self.location, self.columns)
         raise ValueError(f"unknown client {self.kind!r}")
@@ -73,9 +75,13 @@ class PagedReader(DataSourceReader):
         if partition is None:  # no pages: Spark still starts one read
             return
         client = self._client()
-        for offset in range(partition.first, partition.stop, self.stride):
-            page = client.page(offset, self.limit, self.since)
+        at = partition.first
+        while at < partition.stop:
+            page = client.page(at, min(self.limit, partition.stop - at), self.since)
+            if not page.num_rows:
+                raise PageError(f"no rows from {at} on, of the {partition.stop} counted")
             yield from page.to_batches(max_chunksize=BATCH_ROWS)
+            at += page.num_rows
 
 
 class PagedSource(DataSource):
