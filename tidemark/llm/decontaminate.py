@@ -44,15 +44,18 @@ class ItemBlock:
 
     def __init__(self, ids: list[int], texts: list[bytes], words: int, percent: int):
         hashes, counts = word_hashes(texts, WordHashes())
-        values, sizes = shingles(hashes, counts, words)
-        sets = [np.unique(part) for part in np.split(values, np.cumsum(sizes)[:-1])]
-        self.ids, self.words = np.array(ids, np.int64), words
+        of_text = np.split(hashes, np.cumsum(counts)[:-1])
+        sets = [np.zeros(0, np.uint64)] * len(texts)
+        by_width: dict[int, list[int]] = defaultdict(list)
+        for i, own in enumerate(of_text):
+            if len(own):
+                # A short item's sequence is hashed as the documents' runs of that many words are.
+                width = min(len(own), words)
+                sets[i] = np.unique(shingles(own, np.array([len(own)]), width)[0])
+                by_width[width].append(i)
+        self.ids = np.array(ids, np.int64)
         self.sizes = np.array([len(s) for s in sets], np.int64)
         self.need = needed(self.sizes, percent)
-        by_width: dict[int, list[int]] = defaultdict(list)
-        for i, count in enumerate(counts):
-            if count:
-                by_width[min(int(count), words)].append(i)
         self.widths = {}
         for width, items in by_width.items():
             keep = [self.sizes[i] - self.need[i] + 1 for i in items]
@@ -68,8 +71,8 @@ class ItemBlock:
         """(text, item, shared shingles) for every item contained in a text."""
         for width, (coarse, sketch, every, owners) in self.widths.items():
             values, sizes = shingles(hashes, counts, width)
-            sizes = np.where(counts >= width, sizes, 0)  # a short text has no run of this width
-            values = values[np.repeat(counts >= width, np.where(counts >= width, sizes, np.minimum(counts, 1)))]
+            runs = np.where(counts >= width, sizes, 0)  # a shorter text has no run of this width
+            values, sizes = values[np.repeat(counts >= width, sizes)], runs
             maybe = np.flatnonzero(coarse[(values >> np.uint64(44)).astype(np.int64)])
             maybe = maybe[np.isin(values[maybe], sketch)]
             ends = np.cumsum(sizes)

@@ -265,7 +265,7 @@ def page_captures(records: DataFrame) -> DataFrame:
     its payload and the page id of the response it ``refers_to``, found by digest."""
     captures = assemble(records)
     entries = F.flatten(F.transform("metadata", lambda m: m["fields"]))
-    page_id = F.filter(entries, lambda e: e["key"] == "page-id")[0]["value"].cast("bigint")
+    page_id = F.get(F.filter(entries, lambda e: e["key"] == "page-id"), F.lit(0))["value"].cast("bigint")
     known = captures.withColumn("page_id", page_id)
     is_response = F.col("record_type") == "response"
     rank = F.coalesce("page_id", F.lit(-(2**63)))
