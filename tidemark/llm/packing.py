@@ -41,7 +41,7 @@ class WordTokenizer:
     hold the separator, and tokenizers of other kinds, take the plain way.
     """
 
-    KEEP = 450_000
+    KEEP = 400_000
     SEPARATOR = "\x01"
     MARKS = ".,;:!?"
 
