@@ -174,15 +174,22 @@ def _finish(percent: int):
     return run
 
 
-def _stars(todo: DataFrame) -> DataFrame:
+def _shared(members: DataFrame) -> DataFrame:
+    """Members ``(key, last, a)`` of buckets that hold several, with their number ``n``."""
+    sizes = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    return members.join(sizes, "key")
+
+
+def _weights(todo: DataFrame) -> DataFrame:
+    return todo.groupBy("a").agg(F.sum("n").alias("weight"))
+
+
+def _stars(todo: DataFrame, weights: DataFrame) -> DataFrame:
     """Each member with its bucket's centre: the member that shares buckets with most others.
 
     In a family of edited copies that is the text the others come from, near to all.
     """
-    sizes = todo.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    sized = todo.join(sizes, "key")
-    weights = sized.groupBy("a").agg(F.sum("n").alias("weight"))
-    ranked = sized.join(weights, "a")
+    ranked = todo.join(weights, "a")
     first = F.max(F.struct("weight", (-F.col("a")).alias("minus")))["minus"]
     centres = ranked.groupBy("key").agg((-first).alias("b"))
     return todo.join(centres, "key").filter("a != b").select("key", "last", "a", "b")
@@ -193,62 +200,61 @@ def _rooted(df: DataFrame, roots: DataFrame, node: str, name: str) -> DataFrame:
     return df.join(own, node, "left").withColumn(name, F.coalesce(name, node))
 
 
-def _links(
-    buckets: DataFrame, sets: DataFrame, bands: DataFrame, percent: int, workspace: Workspace
+def _roots(
+    todo: DataFrame, weights: DataFrame, sets: DataFrame, bands: DataFrame, percent: int, workspace: Workspace
 ) -> DataFrame:
-    """Confirmed links ``(a, b)`` that join all members of ``(key, a)`` which belong together.
+    """Components of all members of ``todo`` that have a confirmed link.
 
     The first round goes over all buckets as joins. What is left of a bucket and lies in
     several components is finished in one task where it is small. A large rest is dealt by
     one more band, which links share with near certainty, and takes another round.
     """
-    known_rounds, link_rounds = [], []
-    todo, level = buckets.withColumn("last", F.col("key")), 1
+    known_rounds, links, roots = [], None, None
+    level = 1
     while True:
-        star = workspace.store(_stars(todo), "star")
+        star = workspace.store(_stars(todo, weights), "star")
         if star.isEmpty():
             break
         judged = workspace.store(_judged(star.select("a", "b").distinct(), sets, percent), "judged")
         known_rounds.append(judged)
         known = star.join(judged, ["a", "b"])
-        link_rounds.append(judged.filter("near").select("a", "b"))
-        links = workspace.store(reduce(DataFrame.unionAll, link_rounds), "links")
-        left = _rooted(known.filter("not near").select("key", "last", "a"), components(links, workspace), "a", "root")
-        left = workspace.store(left, "left")
-        size = sets.select(F.col("rid").alias("a"), F.size("shingles").alias("size"))
-        totals = left.join(size, "a").groupBy("key").agg(
+        near = judged.filter("near").select("a", "b")
+        roots = components(near if links is None else near.unionAll(links), workspace, roots)
+        left = known.filter("not near").select("key", "last", "a", F.col("na").alias("size"))
+        left = workspace.store(_rooted(left, roots, "a", "root"), "left")
+        totals = left.groupBy("key").agg(
             F.count("*").alias("n"), F.sum("size").alias("size"), F.min("root").alias("low"), F.max("root").alias("high")
         )
-        totals = workspace.store(totals.filter("low != high"), "totals")
+        totals = workspace.store(totals.filter("low != high").select("key", "n", "size"), "totals")
         fits = (F.col("n") <= TASK_MEMBERS) & (F.col("size") <= TASK_SHINGLES)
         small = left.join(totals.filter(fits).select("key"), "key")
         held = small.join(sets.withColumnRenamed("rid", "a"), "a").select("key", "a", "root", "shingles")
         finished = held.groupBy("key").applyInPandas(_finish(percent), "a bigint, b bigint")
-        link_rounds.append(workspace.store(finished, "finished"))
+        links = workspace.store(finished, "finished")
         rest = left.join(totals.filter(~fits).select("key"), "key").select("key", "last", "a")
         if level < FINEST:
             own = bands.select(F.col("rid").alias("a"), F.explode("bands").alias("band"))
             finer = rest.join(own, "a").filter("band > last")
             rest = finer.select(F.xxhash64("key", "band").alias("key"), F.col("band").alias("last"), "a")
-        todo, level = workspace.store(rest, "todo"), level + 1
+        todo, level = workspace.store(_shared(rest), "todo"), level + 1
+        weights = _weights(todo)
     if not known_rounds:
-        return buckets.select("a", F.col("a").alias("b")).limit(0)
-    links = workspace.store(reduce(DataFrame.unionAll, link_rounds).distinct(), "links")
+        return todo.select(F.col("a").alias("node"), F.col("a").alias("root")).limit(0)
+    roots = components(links, workspace, roots)
     known = reduce(DataFrame.unionAll, known_rounds).distinct()
-    fringe = _fringe(known, links, sets, percent, workspace)
+    fringe = _fringe(known, roots, sets, percent, workspace)
     found = workspace.store(_judged(fringe, sets, percent).filter("near").select("a", "b"), "fringe")
-    return links.unionAll(found)
+    return components(found, workspace, roots)
 
 
 def _fringe(
-    known: DataFrame, links: DataFrame, sets: DataFrame, percent: int, workspace: Workspace
+    known: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, workspace: Workspace
 ) -> DataFrame:
     """Pairs around one centre that no star compared, could be linked, and would join two components.
 
     Of x outside and y near centre c, at most min(|x & c|, |y & c|) shared shingles lie in c.
     So x and y are compared only if that is enough, or if they share shingles outside c.
     """
-    roots = components(links, workspace)
     slack = 2 * (1 - percent / 100) + 1e-9
     outer = known.filter((~F.col("near")) & (F.col("gap") <= slack))
     outer = _rooted(_rooted(outer, roots, "a", "ra"), roots, "b", "rb").filter("ra != rb")
@@ -305,18 +311,17 @@ def near_duplicates(
         leaders = nodes.filter("rid = a").select("rid")
         banded = some.join(leaders, "rid", "left_semi")
         banded = banded.select(F.col("rid").alias("a"), F.explode("bands").alias("key"))
-        shared = banded.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-        buckets = workspace.store(banded.join(shared, "key").select("key", "a"), "buckets")
+        buckets = workspace.store(_shared(banded.select("key", F.col("key").alias("last"), "a")), "buckets")
+        weights = workspace.store(_weights(buckets), "weights")
 
-        wanted = workspace.store(buckets.select(F.col("a").alias("rid")).distinct(), "wanted")
+        wanted = weights.select(F.col("a").alias("rid"))
         texts = rows.select("rid", "text")
         chosen = broadcast_if(wanted, fits_broadcast(wanted, texts))
         sets = texts.join(chosen, "rid", "left_semi")
         sets = map_batches(sets, _shingle_sets(settings.words), "rid bigint, shingles array<bigint>")
         sets = workspace.store(sets, "sets")
 
-        links = _links(buckets, sets, drawn.select("rid", "bands"), settings.percent, workspace)
-        roots = components(links, workspace)
+        roots = _roots(buckets, weights, sets, drawn.select("rid", "bands"), settings.percent, workspace)
     led = nodes.join(roots.withColumnRenamed("node", "a"), "a", "left")
     led = led.select("rid", F.coalesce("root", "a").alias("root")).filter("rid != root")
     out = drawn.select("rid", "n").join(led, "rid", "left")
