@@ -253,22 +253,54 @@ def test_months(spark, tmp_path):
     table = StoredTable(spark, str(tmp_path / "t"), ONE, month_of="day")
     table.publish(days(spark, ("2024-01-01", 1), ("2024-02-01", 2), (None, 3)))
     assert sorted(r["n"] for r in table.read(["2024-01", None]).collect()) == [1, 3]
-    plan = table.read(["2024-01"])._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [load_month" in plan.replace("isnotnull(load_month#", "load_month#")
+    files = table.read(["2024-01"]).inputFiles()
+    assert files and all("/load_month=2024-01/" in name for name in files)
+    assert table.read(["1999-01"]).collect() == [] and table.read([]).collect() == []
     table.replace_months(days(spark, ("2024-02-05", 20)))
     assert sorted(r["n"] for r in table.read().collect()) == [1, 3, 20]
 
 
-def test_recover_finishes_committed_months_only(spark, tmp_path):
+@pytest.mark.parametrize("step", ["written", "recorded", "cleaned"])
+def test_a_dead_run_leaves_the_table_old_or_new(spark, tmp_path, monkeypatch, step):
+    table = StoredTable(spark, str(tmp_path / "t"), ONE, month_of="day")
+    table.publish(days(spark, ("2024-01-01", 1), ("2024-02-01", 2), (None, 3)))
+    before = table.read()
+
+    def dies(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patch:
+        if step == "written":
+            patch.setattr(storage, "put_text", dies)
+        elif step == "recorded":
+            patch.setattr(StoredTable, "_clean", dies)
+        else:
+            patch.setattr(storage, "delete", dies)
+        months = days(spark, ("2024-01-05", 10), ("2024-02-05", 20))
+        try:
+            table.replace_months(months)
+        except RuntimeError:
+            pass
+    found = sorted(r["n"] for r in table.read().collect())
+    assert found == ([1, 2, 3] if step == "written" else [3, 10, 20])
+    # A reader that started before still finds its files.
+    assert sorted(r["n"] for r in before.collect()) == [1, 2, 3]
+    table.replace_months(days(spark, ("2024-02-07", 30), (None, 31)))
+    assert sorted(r["n"] for r in table.read().collect()) == [found[0] if step == "written" else 10, 30, 31]
+
+
+def test_replaced_months_and_dead_writes_are_cleaned(spark, tmp_path):
     table = StoredTable(spark, str(tmp_path / "t"), ONE, month_of="day")
     table.publish(days(spark, ("2024-01-01", 1), ("2024-02-01", 2)))
-    table._write(days(spark, ("2024-02-05", 20)), f"{table._pending()}/done")
-    table._write(days(spark, ("2024-01-05", 10)), f"{table._pending()}/died")
-    storage.delete(spark, f"{table._pending()}/died/_SUCCESS")
-    assert sorted(r["n"] for r in table.read().collect()) == [1, 2]
-    table.recover()
-    table.recover()
-    assert sorted(r["n"] for r in table.read().collect()) == [1, 20]
+    (tmp_path / "t" / "v00000002").mkdir()
+    for n in (20, 21, 22):
+        table.replace_months(days(spark, ("2024-02-05", n)))
+    left = sorted(str(p.relative_to(tmp_path / "t")) for p in (tmp_path / "t").glob("v*/load_month=*"))
+    assert left == [
+        "v00000001/load_month=2024-01", "v00000004/load_month=2024-02", "v00000005/load_month=2024-02"
+    ]
+    assert not (tmp_path / "t" / "v00000002").exists()
+    assert sorted(r["n"] for r in table.read().collect()) == [1, 22]
 
 
 def test_hot_month_is_written_by_several_tasks(spark, tmp_path):

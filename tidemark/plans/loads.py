@@ -171,7 +171,6 @@ class Loader:
 
     def _merge_months(self, source: DataFrame, workspace: Workspace) -> None:
         # The month column is a key, so a match is always in the row's own month.
-        self.target.recover()
         months = self.target.months_in(source)
         if not months:
             return

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
+import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +13,8 @@ from tidemark.functions.casts import quoted
 from tidemark.session import require_utc
 
 MONTH = "load_month"
+NO_MONTH = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder of rows without a month
+WHOLE = ""
 
 
 class MissingTable(LookupError):
@@ -20,14 +22,16 @@ class MissingTable(LookupError):
 
 
 class StoredTable:
-    """A table whose content is the newest committed version folder.
+    """A table whose content is what its newest commit record lists.
 
-    ``publish`` writes a new version. It counts from the moment its write job
-    commits, so a failed job leaves the table as it was.
+    A version is a folder of files and, once they are written, a small record that
+    names the folders the table consists of. Folders never change and readers follow
+    the newest record, so a run that dies at any point leaves the table wholly old or
+    wholly new. One writer at a time.
 
-    With ``month_of``, a version is partitioned by the month of that column, and
-    ``replace_months`` rewrites single months of the current version: for tables
-    too large to copy on every load.
+    With ``month_of``, folders hold one month of that column each. ``replace_months``
+    writes single months, and its record takes the other months over from the one
+    before: for tables too large to copy on every load.
     """
 
     def __init__(
@@ -41,29 +45,29 @@ class StoredTable:
         self.month_of = month_of
 
     def versions(self) -> list[int]:
-        return [n for n in self._numbers() if storage.committed(self.spark, self._folder(n))]
+        names = storage.child_names(self.spark, self._records())
+        return [int(name[:-5]) for name in names if name.endswith(".json") and name[:-5].isdigit()]
 
     def exists(self) -> bool:
         return bool(self.versions())
 
     def read(self, months: list[str | None] | None = None) -> DataFrame:
         """The table, or only some months of it; folders of other months stay unread."""
-        df = self.spark.read.schema(self._stored_schema()).parquet(self._current())
+        folders = self._current()
         if months is not None:
-            wanted = F.col(MONTH).isin([month for month in months if month is not None])
-            df = df.filter(wanted | F.col(MONTH).isNull() if None in months else wanted)
-        return df.select(*[quoted(c) for c in self.schema.names])
+            wanted = {month or NO_MONTH for month in months}
+            folders = {month: folder for month, folder in folders.items() if month in wanted}
+        if not folders:
+            return self.spark.createDataFrame([], self.schema)
+        paths = [f"{self.path}/{folder}" for folder in folders.values()]
+        return self.spark.read.schema(self.schema).parquet(*paths)
 
     def publish(self, df: DataFrame, keep: int = 2) -> int:
         """Make ``df`` the content, bound by column name; creates the table if needed.
 
-        The version before stays, for readers that have started on it.
+        The ``keep`` newest versions stay, for readers that have started on one of them.
         """
-        version = max(self._numbers(), default=0) + 1
-        self._write(df, self._folder(version))
-        for old in self.versions()[:-keep]:
-            storage.delete(self.spark, self._folder(old))
-        return version
+        return self._commit(df, {}, keep)
 
     def create_empty(self) -> int:
         return self.publish(self.spark.createDataFrame([], self.schema))
@@ -72,51 +76,63 @@ class StoredTable:
         """Months present in ``df``: bounded by the calendar, however large the data."""
         return [row[0] for row in df.select(self._month().alias(MONTH)).distinct().collect()]
 
-    def replace_months(self, df: DataFrame) -> None:
-        """Replace, in the current version, every month that occurs in ``df``.
+    def replace_months(self, df: DataFrame, keep: int = 2) -> int:
+        """A new version in which every month that occurs in ``df`` is that of ``df``."""
+        return self._commit(df, self._current(), keep)
+
+    def _commit(self, df: DataFrame, others: dict[str, str], keep: int) -> int:
+        version = max(self._numbers() + self.versions(), default=0) + 1
+        folder = f"v{version:08d}"
+        self._write(df, f"{self.path}/{folder}")
+        written = {WHOLE: folder}
+        if self.month_of:
+            names = storage.child_names(self.spark, f"{self.path}/{folder}")
+            months = [name for name in names if name.startswith(f"{MONTH}=")]
+            written = {name[len(MONTH) + 1 :]: f"{folder}/{name}" for name in months}
+        record = json.dumps({**others, **written}, sort_keys=True)
+        storage.put_text(self.spark, self._record(version), record)
+        self._clean(keep)
+        return version
 
-        The months are written aside and committed before any is moved in. A run
-        that dies while moving is finished by ``recover``, which may be repeated.
-        Until then a reader may see some months old and some new.
-        """
-        self._write(df, f"{self._pending()}/{uuid.uuid4().hex}")
-        self.recover()
-
-    def recover(self) -> None:
-        """Move in months committed aside; drop those whose write never committed."""
-        current = self._current()
-        for name in storage.child_names(self.spark, self._pending()):
-            aside = f"{self._pending()}/{name}"
-            if storage.committed(self.spark, aside):
-                for month in storage.child_names(self.spark, aside):
-                    if month.startswith(f"{MONTH}="):
-                        storage.replace(self.spark, f"{aside}/{month}", f"{current}/{month}")
-            storage.delete(self.spark, aside)
+    def _clean(self, keep: int) -> None:
+        """Drop old records, then folders no record names: replaced ones and those of dead writes."""
+        versions = self.versions()
+        for old in versions[:-keep]:
+            storage.delete(self.spark, self._record(old))
+        used = {folder for version in versions[-keep:] for folder in self._folders(version).values()}
+        for number in self._numbers():
+            folder = f"v{number:08d}"
+            held = [name for name in used if name.split("/")[0] == folder]
+            if not held:
+                storage.delete(self.spark, f"{self.path}/{folder}")
+            elif held != [folder]:
+                for name in storage.child_names(self.spark, f"{self.path}/{folder}"):
+                    if name.startswith(f"{MONTH}=") and f"{folder}/{name}" not in used:
+                        storage.delete(self.spark, f"{self.path}/{folder}/{name}")
 
     def _numbers(self) -> list[int]:
         names = storage.child_names(self.spark, self.path)
         return [int(name[1:]) for name in names if name[0] == "v" and name[1:].isdigit()]
 
-    def _folder(self, version: int) -> str:
-        return f"{self.path}/v{version:08d}"
+    def _records(self) -> str:
+        return f"{self.path}/_records"
 
-    def _current(self) -> str:
+    def _record(self, version: int) -> str:
+        return f"{self._records()}/{version:08d}.json"
+
+    def _folders(self, version: int) -> dict[str, str]:
+        """Folders by month; a table without months has one. Bounded by the calendar."""
+        return json.loads(storage.read_text(self.spark, self._record(version)))
+
+    def _current(self) -> dict[str, str]:
         versions = self.versions()
         if not versions:
             raise MissingTable(f"no table at {self.path}; run the full load first")
-        return self._folder(versions[-1])
-
-    def _pending(self) -> str:
-        # Belongs to one version: a later publish leaves it behind. Scans skip "_" folders.
-        return f"{self._current()}/_pending"
+        return self._folders(versions[-1])
 
     def _month(self) -> Column:
         return F.date_format(quoted(self.month_of), "yyyy-MM")
 
-    def _stored_schema(self) -> StructType:
-        fields = StructType(list(self.schema.fields))
-        return fields.add(MONTH, "string") if self.month_of else fields
-
     def _write(self, df: DataFrame, path: str) -> None:
         columns = [quoted(c) for c in self.schema.names]
         if self.month_of is None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
@@ -34,18 +36,28 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
-def replace(spark: SparkSession, source: str, destination: str) -> None:
-    """Put folder ``source`` in the place of ``destination``."""
-    fs, from_path = _open(spark, source)
-    to_path = spark._jvm.org.apache.hadoop.fs.Path(destination)
-    fs.delete(to_path, True)
-    if not fs.rename(from_path, to_path):
-        raise OSError(f"could not move {source} to {destination}")
-
-
-def committed(spark: SparkSession, path: str) -> bool:
-    """True once the write job into ``path`` has committed."""
-    return exists(spark, f"{path}/_SUCCESS")
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small new file that readers see whole or not at all."""
+    fs, to_path = _open(spark, path)
+    if fs.exists(to_path):
+        raise FileExistsError(path)
+    aside = to_path.suffix(f".{uuid.uuid4().hex}")
+    out = fs.create(aside, False)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+    if not fs.rename(aside, to_path):
+        raise OSError(f"could not name {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, from_path = _open(spark, path)
+    stream = fs.open(from_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 class Folder:
