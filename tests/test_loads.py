@@ -164,6 +164,20 @@ def test_delta_onto_created_tables(spark, site):
     assert spark.sql(count).first()[0] == 1
 
 
+def test_names_follow_the_loads(spark, site):
+    site.serve([eviction("1")])
+    site.loader.full_load("2022-04-05")
+    site.loader.create_views()
+    for n in (2, 3):
+        site.serve([eviction(str(k)) for k in range(n)])
+        site.loader.full_load("2022-04-06")
+        assert spark.sql("select count(*) from evictions").first()[0] == n
+    site.serve([eviction("9", created="2022-04-06")], areas=None, since="2022-04-05")
+    site.loader.delta_load("2022-04-07")
+    assert spark.sql("select count(*) from evictions").first()[0] == 4
+    assert spark.sql("select count(*) from stg_evictions").first()[0] == 1
+
+
 def test_failed_cast_leaves_the_target(site):
     site.serve([eviction("1")])
     site.loader.full_load("2022-04-05")

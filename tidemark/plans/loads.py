@@ -61,6 +61,7 @@ class Loader:
         self.target = StoredTable(
             spark, f"{self.root}/tables/{spec.target_name}", spec.target_schema, spec.month_of
         )
+        self._named = False
 
     def staging(self, dataset: Dataset) -> StoredTable:
         path = f"{self.root}/staging/{dataset.staging_name}"
@@ -77,7 +78,11 @@ class Loader:
         self.target.create_empty()
 
     def create_views(self) -> None:
-        """Name the current staging and target tables for use in Spark SQL."""
+        """Name the staging and target tables for use in Spark SQL.
+
+        From then on each load of this loader turns the names to what it has published.
+        """
+        self._named = True
         for dataset in (self.spec.main, self.spec.reference):
             self.staging(dataset).read().createOrReplaceTempView(dataset.staging_name)
         self.target.read().createOrReplaceTempView(self.spec.target_name)
@@ -133,6 +138,7 @@ class Loader:
         staged = [self.staging(dataset).read() for dataset in datasets]
         with sized_for(self.spark, sum(map(estimated_bytes, staged))):
             self.target.publish(self.transform())
+        self._refresh_views()
         return LoadReport(self._null_keys(self.target.read()), self._rejected(datasets))
 
     def delta_load(
@@ -144,7 +150,13 @@ class Loader:
                 raise MissingTable(f"no table at {table.path}; run the full load first")
         self.extract(self.spec.main, run_date, days_ago)
         self.stage(self.spec.main, run_date)
-        return LoadReport(self.merge_staged(), self._rejected([self.spec.main]))
+        null_keys = self.merge_staged()
+        self._refresh_views()
+        return LoadReport(null_keys, self._rejected([self.spec.main]))
+
+    def _refresh_views(self) -> None:
+        if self._named:
+            self.create_views()
 
     def merge_staged(self) -> int:
         """Transform what is staged and merge it; returns its number of null-key rows."""

@@ -30,7 +30,7 @@ DELTA_SINCE = "2000-08-02"
 class _Shop:
     """The remote side, and a loader reading it."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, month_of: str | None = None):
         workspace = Workspace(spark)
         self.orders = orders_with_null_keys(spark, sf_dir)
         self.customers = table(spark, sf_dir, "customer")
@@ -44,6 +44,7 @@ class _Shop:
             target_columns=tuple(self.orders.columns),
             keys=tuple(KEYS),
             keep_target=("o_orderstatus",),
+            month_of=month_of,
         )
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.loader = Loader(spark, spec, workspace.path("lake"))
@@ -79,16 +80,26 @@ def full_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(shop.loader.target.read())
 
 
-@query(
-    merge_sql(
-        f"{LOADED_SQL} WHERE o_orderdate < DATE '{FULL_RUN}'",
-        f"{CHANGED_SQL} WHERE o_orderdate >= DATE '{DELTA_SINCE}'",
-        keep=("o_orderstatus",),
-    )
+DELTA_SQL = merge_sql(
+    f"{LOADED_SQL} WHERE o_orderdate < DATE '{FULL_RUN}'",
+    f"{CHANGED_SQL} WHERE o_orderdate >= DATE '{DELTA_SINCE}'",
+    keep=("o_orderstatus",),
 )
+
+
+@query(DELTA_SQL)
 def delta_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full load of the orders there were then, and a year's look-back later."""
-    shop = _Shop(spark, sf_dir)
+    return _loaded_and_changed(_Shop(spark, sf_dir))
+
+
+@query(DELTA_SQL)
+def delta_load_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same loads into a table of months, of which only those looked back at are written."""
+    return _loaded_and_changed(_Shop(spark, sf_dir, month_of="o_orderdate"))
+
+
+def _loaded_and_changed(shop: _Shop) -> DataFrame:
     before = F.col("o_orderdate") < F.lit(FULL_RUN).cast("timestamp_ntz")
     shop.serve_orders(shop.orders.filter(before))
     shop.serve_customers()
