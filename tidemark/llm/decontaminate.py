@@ -118,9 +118,9 @@ def contained_items(
     ``percent`` or more of an item's distinct shingles of ``words`` words.
 
     Words are runs without blanks, A-Z in lower case. Null and blank texts contain nothing,
-    blank items are in nothing. Repeated rows and null ids give a row each. Items come to the
-    tasks in blocks of bounded size, each with a scan of its own over ``docs``; their number
-    grows with the items, not with the documents.
+    blank items are in nothing. Repeated rows and null ids give a row each; a null item
+    id is given as 0. Items come to the tasks in blocks of bounded size, each with a scan of its
+    own over ``docs``; their number grows with the items, not with the documents.
     """
     spark = docs.sparkSession
     named = items.select(quoted(item_col).cast("bigint").alias("id"), quoted(item_text_col).alias("text"))
