@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import zipfile
@@ -63,11 +64,41 @@ def _shipped(spark: SparkSession, application: str) -> tempfile.TemporaryDirecto
     return folder
 
 
-def map_batches(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` with a function of this package."""
+# What a Python worker keeps between its tasks, by the operator that keeps it, and how to drop it.
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def hold(owner: str, drop: Callable[[], None]) -> None:
+    """Called in a task: what ``drop`` drops stays until a task of another owner comes."""
+    _HELD[owner] = drop
+
+
+def _drop_others(owner: str | None) -> None:
+    for other in [name for name in _HELD if name != owner]:
+        _HELD.pop(other)()
+
+
+def _give_back() -> None:
+    """Return freed memory to the machine: an idle worker counts against its executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def map_batches(
+    df: DataFrame, function: Callable, schema: str | StructType, owner: str | None = None
+) -> DataFrame:
+    """``mapInArrow`` with a function of this package. ``owner`` names what it holds, if anything."""
     spark = df.sparkSession
     _shipped(spark, spark.sparkContext.applicationId)
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _drop_others(owner)
+        yield from function(batches)
+        _give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 def numbered(docs: DataFrame, id_col: str, text_col: str, workspace: Workspace) -> DataFrame:

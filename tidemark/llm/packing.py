@@ -23,12 +23,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.casts import quoted
-from tidemark.llm.common import map_batches, pieces, slices, tidy
+from tidemark.llm.common import hold, map_batches, pieces, slices, tidy
 from tidemark.workspace import Workspace
 
 WINDOW = 4096
 END_ID = 2
 SHARE_ROWS = 200_000
+HELD = "tokenizer"
 # A letter that str.lower() lowers by its place in the word, and blanks to str.split() alone.
 ODD = "\u03a3\x1c\x1d\x1e\x1f"
 
@@ -141,6 +142,7 @@ def _cut(path: str, window: int, end_id: int, with_ids: bool):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold(HELD, _tokenizer.cache_clear)
         tokenizer = _tokenizer(path)
         for batch in batches:
             for first, texts in slices(batch.column(1)):
@@ -285,7 +287,7 @@ def pack(
         schema = "id long, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
         schema = schema.replace("id long", f"id {rows.schema['id'].dataType.simpleString()}")
         schema += ", ids array<int>" if with_ids else ""
-        cut = map_batches(rows, _cut(tokenizer_path, window, end_id, with_ids), schema)
+        cut = map_batches(rows, _cut(tokenizer_path, window, end_id, with_ids), schema, HELD)
         cut = workspace.store(cut.withColumn("share", F.xxhash64("id", "start", "ids_crc32")), "pieces")
         counted = cut.groupBy("length").agg(F.count("*").alias("n")).collect()  # at most ``window`` rows
         histogram = {row["length"]: row["n"] for row in counted}
