@@ -14,6 +14,7 @@ from tidemark.operators.changes import changed_since
 from tidemark.operators.lookup import add_reference
 from tidemark.operators.merge import merge, shared_keys
 from tidemark.operators.sizes import fits_broadcast, measured_bytes
+from tidemark.queries import QUERIES
 from tidemark.session import settings_for, sized_for
 from tidemark.sources import paged
 from tidemark.workspace import Workspace, shared_root
@@ -85,6 +86,14 @@ def test_small_reference_is_broadcast_and_main_not_moved(spark, workspace, any_s
     assert text.count("Exchange hashpartitioning") == 1  # of the reference, for its distinct
 
 
+@pytest.mark.parametrize("name", ["enrich_left_join_broadcast", "merge_upsert_broadcast"])
+@pytest.mark.parametrize("sf", ["0.01", "0.1"])
+def test_registered_forms_broadcast_by_measure(spark, name, sf):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        text = plan(QUERIES[name](spark, f"/root/testdata/sf{sf}"))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
 @pytest.mark.parametrize("hot", [0, None])
 def test_hot_name_is_split(spark, workspace, small_partitions, hot):
     rows = hot_and_cold(spark, hot).withColumn("k", F.col("k").cast("string"))

@@ -22,6 +22,7 @@ def add_reference(
     reference_value: str,
     value_field: str,
     broadcast_limit: int = BROADCAST_LIMIT,
+    worth_sparing: int | None = None,
 ) -> DataFrame:
     """Turn text column ``column`` into struct<``column``, ``value_field``>, in place.
 
@@ -29,13 +30,13 @@ def add_reference(
     with two values gives two rows.
 
     A reference whose measured size is within the limit is broadcast, so that a
-    large ``main`` is not moved. Otherwise Spark chooses; in a shuffled join,
+    ``main`` of ``worth_sparing`` bytes or more is not moved. Otherwise Spark chooses; in a shuffled join,
     adaptive execution splits the partition of a name, or of null, that holds
     much of ``main``.
     """
     raw = reference.select(quoted(reference_name), quoted(reference_value))
     # Measured before duplicates go: a scan without a shuffle, and still an upper bound.
-    small = fits_broadcast(raw, main, broadcast_limit)
+    small = fits_broadcast(raw, main, broadcast_limit, worth_sparing)
     pairs = reference_values(reference, reference_name, reference_value)
     pairs = pairs.select(F.col("name").alias("__name"), F.col("value").alias("__value"))
     joined = main.join(broadcast_if(pairs, small), quoted(column) == F.col("__name"), "left")

@@ -47,6 +47,7 @@ def shared_keys(
     null_safe_keys: bool = False,
     broadcast_limit: int = BROADCAST_LIMIT,
     source_is_small: bool = False,
+    worth_sparing: int | None = None,
 ) -> DataFrame:
     """Keys on both sides, with the number of source rows that carry each.
 
@@ -56,7 +57,7 @@ def shared_keys(
     theirs = source.select(*[quoted(k) for k in keys])
     if not null_safe_keys:
         ours, theirs = ours.filter(~_any_null(keys)), theirs.filter(~_any_null(keys))
-    if source_is_small or fits_broadcast(theirs, ours, broadcast_limit):
+    if source_is_small or fits_broadcast(theirs, ours, broadcast_limit, worth_sparing):
         # Only target keys that the batch mentions need to be shuffled.
         batch = F.broadcast(_prefixed(theirs, keys, "__"))
         ours = ours.join(batch, _same_key(keys, "__", null_safe_keys), "left_semi")
@@ -86,6 +87,7 @@ def merge(
     null_safe_keys: bool = False,
     source_is_stored: bool = False,
     broadcast_limit: int = BROADCAST_LIMIT,
+    worth_sparing: int | None = None,
 ) -> DataFrame:
     """The target after the merge, columns as in ``target``, bound by name.
 
@@ -94,6 +96,9 @@ def merge(
     without one stay. A null in a key matches nothing, so such a source row is
     inserted on every run, unless ``null_safe_keys``.
 
+    A side within ``broadcast_limit`` is broadcast to spare another of ``worth_sparing``
+    bytes or more its shuffle.
+
     ``target`` should be a scan: it is read more than once. The result reads
     intermediate tables, so drop the workspace only after using it.
     """
@@ -105,9 +110,10 @@ def merge(
         source = workspace.store(source, "source")
 
     # A batch that fits a broadcast bounds its keys and its updates as well.
-    small = fits_broadcast(source, target, broadcast_limit)
+    small = fits_broadcast(source, target, broadcast_limit, worth_sparing)
     matched = workspace.store(
-        shared_keys(target, source, keys, null_safe_keys, broadcast_limit, small), "matched"
+        shared_keys(target, source, keys, null_safe_keys, broadcast_limit, small, worth_sparing),
+        "matched",
     )
     hits, most = matched.agg(F.count("*"), F.max("source_rows")).first()
     if not hits:
@@ -119,7 +125,8 @@ def merge(
 
     keyed = source if null_safe_keys else source.filter(~_any_null(keys))
     hit_keys = _prefixed(matched, keys, "__")
-    hit_keys = broadcast_if(hit_keys, small or fits_broadcast(hit_keys, keyed, broadcast_limit))
+    fits = small or fits_broadcast(hit_keys, keyed, broadcast_limit, worth_sparing)
+    hit_keys = broadcast_if(hit_keys, fits)
     hit = _same_key(keys, "__", null_safe_keys)
     updates = keyed.join(hit_keys, hit, "left_semi")
     inserts = keyed.join(hit_keys, hit, "left_anti")
@@ -128,7 +135,7 @@ def merge(
 
     if not small:
         updates = workspace.store(updates, "updates")
-        small = fits_broadcast(updates, target, broadcast_limit)
+        small = fits_broadcast(updates, target, broadcast_limit, worth_sparing)
     new = _prefixed(updates, columns, "__new_").withColumn("__hit", F.lit(True))
     new = broadcast_if(new, small)
     untouched = None

@@ -54,14 +54,21 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def fits_broadcast(df: DataFrame, to_spare: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
+def fits_broadcast(
+    df: DataFrame,
+    to_spare: DataFrame,
+    limit: int = BROADCAST_LIMIT,
+    worth_sparing: int | None = None,
+) -> bool:
     """True if ``df`` is to be broadcast so that ``to_spare`` need not be shuffled.
 
-    Its measured size must be within ``limit`` and below that of the side spared.
+    Its measured size must be within ``limit`` and below that of the side spared, which
+    must have ``worth_sparing`` bytes (``WORTH_SPARING``) for the measuring to pay.
     Estimates come first: they save measuring where the answer is plain.
     """
     spared = estimated_bytes(to_spare)
-    if spared < WORTH_SPARING or estimated_bytes(df) > limit:
+    least = WORTH_SPARING if worth_sparing is None else worth_sparing
+    if spared < least or estimated_bytes(df) > limit:
         return False
     size = measured_bytes(df)
     return size is not None and size <= min(limit, spared)

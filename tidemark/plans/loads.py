@@ -121,6 +121,7 @@ class Loader:
             lookup.reference_value,
             lookup.value_field,
             self.spec.broadcast_limit,
+            self.spec.worth_sparing,
         )
 
     def full_load(self, run_date: str | dt.date, concurrent: bool = True) -> LoadReport:
@@ -200,6 +201,7 @@ class Loader:
             null_safe_keys=self.spec.null_safe_keys,
             source_is_stored=True,
             broadcast_limit=self.spec.broadcast_limit,
+            worth_sparing=self.spec.worth_sparing,
         )
 
     def _null_keys(self, df: DataFrame) -> int:

@@ -48,6 +48,8 @@ class LoadSpec:
     # Partition the target by month of this key column and rewrite single months.
     month_of: str | None = None
     broadcast_limit: int = BROADCAST_LIMIT
+    # Bytes from which a side is worth measuring the other for; None is the default.
+    worth_sparing: int | None = None
 
     def __post_init__(self):
         if self.month_of is not None and self.month_of not in self.keys:

@@ -21,6 +21,8 @@ from tidemark.workspace import Workspace
 
 KNOWN_BEFORE = "2000-01-01"
 CHANGED_SINCE = "1998-01-01"
+# The batch of a single load: the changes of the weeks around KNOWN_BEFORE.
+RECENT = ("1999-12-15", "2000-01-15")
 KEYS = ["o_orderdate", "o_orderkey", "o_orderpriority"]
 FLAT = KEYS + ["o_orderstatus", "o_totalprice", "custkey", "segment"]
 
@@ -98,6 +100,21 @@ def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(_merged(Workspace(spark), _target(spark, sf_dir), batch))
 
 
+RECENT_SQL = f"""
+    {BATCH_SQL} AND o_orderdate >= DATE '{RECENT[0]}' AND o_orderdate < DATE '{RECENT[1]}'
+"""
+
+
+@query(merge_sql(TARGET_SQL, RECENT_SQL))
+def merge_upsert_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch of a few weeks, measured as at size: it is broadcast, the target stays."""
+    dates = [F.lit(day).cast("timestamp_ntz") for day in RECENT]
+    batch = _batch(spark, sf_dir).filter(
+        (F.col("o_orderdate") >= dates[0]) & (F.col("o_orderdate") < dates[1])
+    )
+    return flat(_merged(Workspace(spark), _target(spark, sf_dir), batch, worth_sparing=0))
+
+
 @query(merge_sql(TARGET_SQL, BATCH_SQL, keep=("o_orderstatus",)))
 def merge_keep_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The status of a known order is never overwritten."""

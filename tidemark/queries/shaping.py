@@ -44,18 +44,29 @@ def param_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionAll, counts)
 
 
-@query(
-    """
+LABELLED_SQL = """
     SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality
     FROM documents d
     LEFT JOIN (SELECT DISTINCT doc_id, quality FROM labels) l ON l.doc_id = d.doc_id
     """
-)
+
+
+@query(LABELLED_SQL)
 def enrich_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels cover some of the documents."""
+    return _labelled(spark, sf_dir)
+
+
+@query(LABELLED_SQL)
+def enrich_left_join_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as at size: labels measured, and broadcast where they fit."""
+    return _labelled(spark, sf_dir, worth_sparing=0)
+
+
+def _labelled(spark: SparkSession, sf_dir: str, **options: object) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
     labels = table(spark, sf_dir, "labels")
-    joined = add_reference(documents, labels, "doc_id", "doc_id", "quality", "quality")
+    joined = add_reference(documents, labels, "doc_id", "doc_id", "quality", "quality", **options)
     return joined.select("doc_id.doc_id", "lang", "source", "n_chars", "doc_id.quality")
 
 
