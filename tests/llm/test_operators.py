@@ -28,6 +28,7 @@ from tidemark.llm import (
     toxicity,
     warc,
 )
+from tidemark.llm.common import WordHashes, shingles, word_hashes
 from tidemark.llm.queries import tokenizer_path
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -396,6 +397,21 @@ def test_family_of_edited_copies(spark, workspace):
     same(got.select("doc_id", "n_shingles", "component_id", "kept").collect(), grouped(made, 3, 85))
 
 
+def test_links_in_the_rest_of_a_large_bucket(spark, workspace, monkeypatch):
+    # Pairs that share one band only, in a bucket too large for one task and far from its first centre.
+    monkeypatch.setattr(neardup, "TASK_MEMBERS", 1)
+    words = [f"w{n}" for n in range(1200)]
+    values, _ = shingles(*word_hashes([" ".join(words).encode()], WordHashes()), 1)
+    least = words.pop(int(values.argmin()))
+    made = []
+    for n in range(24):
+        own = words[40 * n : 40 * n + 40]
+        made += [(2 * n, " ".join([least, *own])), (2 * n + 1, " ".join([least, *own[1:]]))]
+    df = spark.createDataFrame(made, "doc_id bigint, text string")
+    got = neardup.near_duplicates(df, workspace, neardup.Settings(words=1, bands=1, rows=1))
+    same(got.select("doc_id", "n_shingles", "component_id", "kept").collect(), grouped(made, 1, 80))
+
+
 def test_no_near_duplicates(none, workspace):
     assert neardup.near_duplicates(none, workspace).collect() == []
 

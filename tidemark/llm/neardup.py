@@ -8,7 +8,7 @@ bands, and documents that agree on a band share a bucket.
 In a bucket only star-shaped edges are compared: every member with the centre, which
 is the member that shares buckets with most others. Members near it have their
 link. The others are compared where they lie in different components: in one task if
-they are few, else in finer buckets with centres of their own. Distance (one minus
+they are few, else with further centres, of which each round takes more. Distance (one minus
 similarity) is a metric, so a linked pair of which a star has taken only one lies at
 the fringe: one is near the centre, the other within twice the distance limit. What
 they may share, by their sets and the centre's, decides which of those pairs are
@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.casts import quoted
@@ -40,8 +40,10 @@ from tidemark.workspace import Workspace
 # What is left of a bucket is finished in one task up to so many members and shingles in all.
 TASK_MEMBERS = 256
 TASK_SHINGLES = 1_000_000
-# Bands that a rest is dealt by at most. Linked documents share 14 of 32 on average.
-FINEST = 4
+# Centres of a bucket's rest in the first and in any round at most; each round takes so many times
+# more. Within the limit up to which Spark drops rows of lower rank before it shuffles them (1000).
+REST_CENTRES = 16
+CENTRES = 256
 
 
 @dataclass(frozen=True)
@@ -175,7 +177,7 @@ def _finish(percent: int):
 
 
 def _shared(members: DataFrame) -> DataFrame:
-    """Members ``(key, last, a)`` of buckets that hold several, with their number ``n``."""
+    """Members ``(key, a)`` of buckets that hold several, with their number ``n``."""
     sizes = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     return members.join(sizes, "key")
 
@@ -192,7 +194,23 @@ def _stars(todo: DataFrame, weights: DataFrame) -> DataFrame:
     ranked = todo.join(weights, "a")
     first = F.max(F.struct("weight", (-F.col("a")).alias("minus")))["minus"]
     centres = ranked.groupBy("key").agg((-first).alias("b"))
-    return todo.join(centres, "key").filter("a != b").select("key", "last", "a", "b")
+    return todo.join(centres, "key").filter("a != b").select("key", "a", "b")
+
+
+def _rest_stars(rest: DataFrame, weights: DataFrame, centres: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``(key, a, b)`` of members and centres of a rest, and its members that are no centres.
+
+    Centres lie outside the component that holds most of the rest, so that it is finished when
+    they all have been one. Members of a centre's own component are not compared with it.
+    """
+    order = Window.partitionBy("key").orderBy(F.desc("weight"), "a")
+    ranked = rest.filter("root != major").join(weights, "a").withColumn("rank", F.row_number().over(order))
+    first = ranked.filter(F.col("rank") <= centres)
+    chosen = first.groupBy("key").agg(F.collect_list(F.struct(F.col("a").alias("b"), F.col("root").alias("rb"))).alias("centres"))
+    both = rest.join(chosen, "key").withColumn("centre", F.array_contains(F.col("centres.b"), F.col("a")))
+    pairs = both.select("key", "a", "root", "centre", F.explode("centres").alias("c")).select("*", "c.b", "c.rb")
+    pairs = pairs.filter("root != rb and (a > b or not centre)").select("key", "a", "b", "centre")
+    return pairs, both.filter("not centre").select("key", "a", "size")
 
 
 def _rooted(df: DataFrame, roots: DataFrame, node: str, name: str) -> DataFrame:
@@ -200,44 +218,46 @@ def _rooted(df: DataFrame, roots: DataFrame, node: str, name: str) -> DataFrame:
     return df.join(own, node, "left").withColumn(name, F.coalesce(name, node))
 
 
-def _roots(
-    todo: DataFrame, weights: DataFrame, sets: DataFrame, bands: DataFrame, percent: int, workspace: Workspace
-) -> DataFrame:
+def _roots(todo: DataFrame, weights: DataFrame, sets: DataFrame, percent: int, workspace: Workspace) -> DataFrame:
     """Components of all members of ``todo`` that have a confirmed link.
 
     The first round goes over all buckets as joins. What is left of a bucket and lies in
-    several components is finished in one task where it is small. A large rest is dealt by
-    one more band, which links share with near certainty, and takes another round.
+    several components is finished in one task where it is small. A large rest stays a bucket
+    and takes another round with more centres, so that rounds are few.
     """
     known_rounds, links, roots = [], None, None
-    level = 1
-    while True:
-        star = workspace.store(_stars(todo, weights), "star")
-        if star.isEmpty():
-            break
+    centres = 1
+    others = None
+    while not todo.isEmpty():
+        if centres == 1:
+            star = workspace.store(_stars(todo, weights), "star")
+        else:
+            star, others = _rest_stars(todo, weights, centres)
+            star = workspace.store(star, "star")
         judged = workspace.store(_judged(star.select("a", "b").distinct(), sets, percent), "judged")
         known_rounds.append(judged)
         known = star.join(judged, ["a", "b"])
         near = judged.filter("near").select("a", "b")
         roots = components(near if links is None else near.unionAll(links), workspace, roots)
-        left = known.filter("not near").select("key", "last", "a", F.col("na").alias("size"))
+        if others is None:
+            left = known.filter("not near").select("key", "a", F.col("na").alias("size"))
+        else:
+            left = others.join(known.filter("near and not centre").select("key", "a").distinct(), ["key", "a"], "left_anti")
         left = workspace.store(_rooted(left, roots, "a", "root"), "left")
-        totals = left.groupBy("key").agg(
-            F.count("*").alias("n"), F.sum("size").alias("size"), F.min("root").alias("low"), F.max("root").alias("high")
+        parts = left.groupBy("key", "root").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+        totals = parts.groupBy("key").agg(
+            F.sum("n").alias("n"), F.sum("size").alias("bulk"), F.count("*").alias("roots"),
+            F.max(F.struct("n", "root"))["root"].alias("major"),
         )
-        totals = workspace.store(totals.filter("low != high").select("key", "n", "size"), "totals")
-        fits = (F.col("n") <= TASK_MEMBERS) & (F.col("size") <= TASK_SHINGLES)
+        totals = workspace.store(totals.filter("roots > 1").select("key", "n", "bulk", "major"), "totals")
+        fits = (F.col("n") <= TASK_MEMBERS) & (F.col("bulk") <= TASK_SHINGLES)
         small = left.join(totals.filter(fits).select("key"), "key")
         held = small.join(sets.withColumnRenamed("rid", "a"), "a").select("key", "a", "root", "shingles")
         finished = held.groupBy("key").applyInPandas(_finish(percent), "a bigint, b bigint")
         links = workspace.store(finished, "finished")
-        rest = left.join(totals.filter(~fits).select("key"), "key").select("key", "last", "a")
-        if level < FINEST:
-            own = bands.select(F.col("rid").alias("a"), F.explode("bands").alias("band"))
-            finer = rest.join(own, "a").filter("band > last")
-            rest = finer.select(F.xxhash64("key", "band").alias("key"), F.col("band").alias("last"), "a")
-        todo, level = workspace.store(_shared(rest), "todo"), level + 1
+        todo = workspace.store(left.join(totals.filter(~fits).select("key", "n", "major"), "key"), "todo")
         weights = _weights(todo)
+        centres = min(REST_CENTRES * centres, CENTRES)
     if not known_rounds:
         return todo.select(F.col("a").alias("node"), F.col("a").alias("root")).limit(0)
     roots = components(links, workspace, roots)
@@ -311,7 +331,7 @@ def near_duplicates(
         leaders = nodes.filter("rid = a").select("rid")
         banded = some.join(leaders, "rid", "left_semi")
         banded = banded.select(F.col("rid").alias("a"), F.explode("bands").alias("key"))
-        buckets = workspace.store(_shared(banded.select("key", F.col("key").alias("last"), "a")), "buckets")
+        buckets = workspace.store(_shared(banded.select("key", "a")), "buckets")
         weights = workspace.store(_weights(buckets), "weights")
 
         wanted = weights.select(F.col("a").alias("rid"))
@@ -321,7 +341,7 @@ def near_duplicates(
         sets = map_batches(sets, _shingle_sets(settings.words), "rid bigint, shingles array<bigint>")
         sets = workspace.store(sets, "sets")
 
-        roots = _roots(buckets, weights, sets, drawn.select("rid", "bands"), settings.percent, workspace)
+        roots = _roots(buckets, weights, sets, settings.percent, workspace)
     led = nodes.join(roots.withColumnRenamed("node", "a"), "a", "left")
     led = led.select("rid", F.coalesce("root", "a").alias("root")).filter("rid != root")
     out = drawn.select("rid", "n").join(led, "rid", "left")
