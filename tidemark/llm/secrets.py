@@ -4,8 +4,8 @@ Patterns find assignments, access keys and long hexadecimal runs. Beyond those,
 strings are judged by the Shannon entropy of a window that slides over them. The window's
 character counts change by one character in and one out, and the entropy with them: a window
 of w characters has entropy log2(w) - sum(c * log2(c)) / w over its counts c, and only two
-terms of the sum move. Each character class has a threshold of its own. Candidates on the
-allow-list, such as placeholders and runs of the alphabet, are not reported.
+terms of the sum move. Each character class has a threshold of its own. What the allow-list
+names, such as placeholders and runs of the alphabet, is cut out and the rest judged.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ ALLOWED = (
     r"012345|123456|987654|abcdef|qwerty|"
     r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 )
+# An allowed word takes letters and digits beside it with it, a window of them on either side.
+EXCUSED = rf"[A-Za-z0-9]{{0,{WINDOW}}}(?:{ALLOWED})[A-Za-z0-9]{{0,{WINDOW}}}"
 _SCALE = 1 << 20
 
 
@@ -135,7 +137,11 @@ def dense_span(token: Column, bits: Column, window: int = WINDOW) -> Column:
 
 
 def entropy_spans(text: Column, window: int = WINDOW) -> Column:
-    """Dense stretches of candidates, from the first to the last dense window of each."""
+    """Dense stretches of candidates, from the first to the last dense window of each.
+
+    A candidate is judged in the parts that allowed words leave of it, each by its own class
+    or, if it has none, by the candidate's.
+    """
     none = F.array().cast("array<struct<start:int,end:int>>")
 
     def bits_of(token: Column) -> Column:
@@ -144,6 +150,27 @@ def entropy_spans(text: Column, window: int = WINDOW) -> Column:
             bits = F.when(token.rlike(kind.pattern), kind.bits).otherwise(bits)
         return bits
 
+    def parts(run: Column) -> Column:
+        none = F.array().cast("array<struct<start:int,hit:string,bits:double>>")
+
+        def placed(x: Column) -> Column:
+            def step(done: Column, k: Column) -> Column:
+                part = F.get(x["left"], k)
+                bits = F.coalesce(bits_of(part), bits_of(run["hit"]))
+                row = F.struct(done["at"].alias("start"), part.alias("hit"), bits.alias("bits"))
+                rows = F.when(F.length(part) >= window, F.concat(done["rows"], F.array(row))).otherwise(done["rows"])
+                at = done["at"] + F.length(part) + F.coalesce(F.length(F.get(x["cut"], k)), F.lit(0))
+                return F.struct(at.alias("at"), rows.alias("rows"))
+
+            start = F.struct(run["start"].alias("at"), none.alias("rows"))
+            return F.aggregate(F.sequence(F.lit(0), F.size(x["left"]) - 1), start, step)["rows"]
+
+        cut = F.struct(
+            F.split(run["hit"], EXCUSED, -1).alias("left"),
+            F.regexp_extract_all(run["hit"], F.lit(EXCUSED), F.lit(0)).alias("cut"),
+        )
+        return bound(cut, placed)
+
     def one(candidate: Column) -> Column:
         token = candidate["hit"]
 
@@ -151,13 +178,12 @@ def entropy_spans(text: Column, window: int = WINDOW) -> Column:
             start = candidate["start"] + span["first"]
             return F.struct(start.alias("start"), (candidate["start"] + span["last"] + window).alias("end"))
 
-        return bound(dense_span(token, bits_of(token), window), located)
+        return bound(dense_span(token, candidate["bits"], window), located)
 
     candidates = matches(text, CANDIDATE)
-    chosen = F.filter(
-        candidates, lambda c: ~c["hit"].rlike(ALLOWED) & bits_of(c["hit"]).isNotNull()
-    )
-    found = F.filter(F.transform(chosen, one), lambda s: s["start"].isNotNull())
+    chosen = F.filter(candidates, lambda c: bits_of(c["hit"]).isNotNull())
+    judged = F.transform(F.flatten(F.transform(chosen, parts)), one)
+    found = F.filter(judged, lambda s: s["start"].isNotNull())
     return F.when(text.rlike(CANDIDATE), found).otherwise(none)
 
 
@@ -165,8 +191,8 @@ def find_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with ``base_spans`` and ``all_spans``: arrays of structs ``start, kind_no, end, kind``
     in order of start and kind, in code points, end exclusive.
 
-    Entropy spans that touch a base span are left out, being found already. Null and empty
-    texts have no spans. The text is searched whole, however long.
+    Entropy spans that base spans cover are left out, being found already, and so are those
+    that touch a hexadecimal run. Null and empty texts have no spans. The text is searched whole, however long.
     """
     text = F.coalesce(quoted(text_col), F.lit(""))
     found = docs.withColumns(
@@ -189,10 +215,19 @@ def find_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     base = F.sort_array(F.concat(*[tagged(kind) for kind in KINDS[:3]]))
     based = found.withColumn("base_spans", base)
-    apart = F.filter(
-        tagged("entropy"),
-        lambda e: ~F.exists("base_spans", lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"])),
-    )
+
+    def reached(e: Column) -> Column:
+        """The end of what base spans cover without a gap from the start of ``e`` on."""
+
+        def further(at: Column, b: Column) -> Column:
+            return F.when(b["start"] <= at, F.greatest(at, b["end"])).otherwise(at)
+
+        return F.aggregate("base_spans", e["start"], further)
+
+    def in_hex(e: Column) -> Column:
+        return F.exists("__hex", lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"]))
+
+    apart = F.filter(tagged("entropy"), lambda e: ~in_hex(e) & (reached(e) < e["end"]))
     counts = {f"n_{kind}": F.size(f"__{kind}").cast("bigint") for kind in KINDS}
     out = based.withColumns({"all_spans": F.sort_array(F.concat("base_spans", apart)), **counts})
     return out.drop(*[f"__{kind}" for kind in KINDS])
