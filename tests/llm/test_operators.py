@@ -354,6 +354,15 @@ def test_repeated_lines(docs, rows, workspace, keep_first, options):
     same(got.select("doc_id", "__lines", "__gone", "text").collect(), expected)
 
 
+def test_repeated_lines_before_unicode_line_ends(spark, workspace):
+    made = [(n, f"a line of all \u2028\nanother \u0085\nthird\t\u2029 \nown {n}") for n in range(12)]
+    made += [(20 + n, "another\u0085\na line of all\u2028") for n in range(3)]
+    df = spark.createDataFrame(made, "doc_id bigint, text string")
+    for options in ({}, {"list_bytes": 0}):
+        got = lines.drop_repeated_lines(df, workspace, **options)
+        same(got.select("doc_id", "__lines", "__gone", "text").collect(), without_lines(made, False))
+
+
 def test_no_lines(none, workspace):
     assert lines.drop_repeated_lines(none, workspace).collect() == []
 

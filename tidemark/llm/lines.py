@@ -213,7 +213,8 @@ def _drop_listed(keys, keep_first: bool, names: list[str]):
 
 def _drop_joined(rows: DataFrame, repeated: DataFrame, keep_first: bool) -> DataFrame:
     """The same by joins, for a list of repeated lines too large to broadcast."""
-    blank = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
+    # Not $, which also matches before a last U+0085, U+2028 or U+2029.
+    blank = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+\z"
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     lines = rows.select(RID, F.posexplode(F.split("text", "\n", -1)).alias("at", "line"))
     trimmed = F.translate(F.regexp_replace("line", blank, ""), upper, lower)
