@@ -403,13 +403,41 @@ def grouped(rows, width, percent):
 @pytest.mark.parametrize("members", [256, 1])
 @pytest.mark.parametrize("settings", [neardup.Settings(), neardup.Settings(words=3, percent=85)])
 def test_near_duplicates(docs, rows, workspace, settings, members, monkeypatch):
-    monkeypatch.setattr(neardup, "TASK_MEMBERS", members)
+    monkeypatch.setattr(neardup, "LARGE", members)
     got = neardup.near_duplicates(docs, workspace, settings)
     expected = grouped(rows, settings.words, settings.percent)
     assert sum(not e[3] for e in expected) > 5
     same(got.select("doc_id", "n_shingles", "component_id", "kept").collect(), expected)
 
 
+@pytest.mark.parametrize("taken", [0, 4])
+@pytest.mark.parametrize("edits", [4, 9, 14])
+def test_links_that_no_star_compares(spark, workspace, monkeypatch, edits, taken):
+    """One bucket for all: every link must come from a star or from what sets texts apart."""
+    monkeypatch.setattr(neardup, "LARGE", 6)
+    monkeypatch.setattr(neardup, "TAKEN", taken)
+    rng = np.random.default_rng(edits)
+    words = [f"w{n}" for n in range(120)]
+    # Its hash is below those of all other words, so that every text has it in its only bin.
+    others = [f"edit{n}" for n in range(30)] + [f"more{n}{k}" for n in range(70) for k in range(4)]
+    names = [f"least{n}" for n in range(20_000)] + words + others
+    values, _ = shingles(*word_hashes([" ".join(names).encode()], WordHashes()), 1)
+    least = names[int(values.argmin())]
+    assert least.startswith("least")
+    words, made = words[:60], []
+    for n in range(70):
+        parent = list(made[rng.integers(0, n)][1].split()[1:]) if n and rng.random() < 0.7 else list(words)
+        for k in rng.choice(len(parent), int(rng.integers(0, edits)), False):
+            parent[k] = f"edit{rng.integers(0, 30)}"
+        parent = parent[int(rng.integers(0, 5)) :] + [f"more{n}{k}" for k in range(rng.integers(0, 4))]
+        made.append((n, " ".join([least, *parent])))
+    # Texts of other words that meet the family in its bucket alone.
+    made += [(70 + n, " ".join([least] + [f"w{k}" for k in range(5 * n, 5 * n + 30)])) for n in range(20)]
+    df = spark.createDataFrame(made, "doc_id bigint, text string")
+    got = neardup.near_duplicates(df, workspace, neardup.Settings(words=1, bands=1, rows=1))
+    same(got.select("doc_id", "n_shingles", "component_id", "kept").collect(), grouped(made, 1, 80))
+
+
 def test_family_of_edited_copies(spark, workspace):
     rng = np.random.default_rng(3)
     base = [f"w{n}" for n in range(80)]
@@ -425,8 +453,8 @@ def test_family_of_edited_copies(spark, workspace):
 
 
 def test_links_in_the_rest_of_a_large_bucket(spark, workspace, monkeypatch):
-    # Pairs that share one band only, in a bucket too large for one task and far from its first centre.
-    monkeypatch.setattr(neardup, "TASK_MEMBERS", 1)
+    # Pairs that share one band only, in a large bucket and far from its first centre.
+    monkeypatch.setattr(neardup, "LARGE", 1)
     words = [f"w{n}" for n in range(1200)]
     values, _ = shingles(*word_hashes([" ".join(words).encode()], WordHashes()), 1)
     least = words.pop(int(values.argmin()))

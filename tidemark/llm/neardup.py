@@ -7,27 +7,30 @@ bands, and documents that agree on a band share a bucket.
 
 In a bucket only star-shaped edges are compared: every member with the centre, which
 is the member that shares buckets with most others. Members near it have their
-link. The others are compared where they lie in different components: in one task if
-they are few, else with further centres, of which each round takes more. Distance (one minus
-similarity) is a metric, so a linked pair of which a star has taken only one lies at
-the fringe: one is near the centre, the other within twice the distance limit. What
-they may share, by their sets and the centre's, decides which of those pairs are
-compared too, where they would join two components. Links are confirmed on whole sets.
+link. The others are a bucket of their own, with a centre of its own, as long as a centre
+takes a fair share of them. What no star has compared could still be linked: two members that
+no centre took, or one near a centre and one that is not. Such pairs are found by a prefix
+filter on what sets a text apart from the centre: the shingles that only one of the two holds.
+Texts meet in a bucket for what they share with the centre, so these are mostly rare; the
+common ones of a large star come last. Two texts differ in what sets just one
+of them apart; if they are linked and the centre did not take both, they share some of it, and
+one of its first few in any order. Numbers, places in the order and sizes rule out most of the
+pairs that do. Only pairs that would join two components are compared. Links are confirmed on
+whole sets.
 
 Equal sets are one node from the start, so groups of copies cost nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.casts import quoted
@@ -37,13 +40,13 @@ from tidemark.operators.sizes import broadcast_if, fits_broadcast
 from tidemark.workspace import Workspace
 
 
-# What is left of a bucket is finished in one task up to so many members and shingles in all.
-TASK_MEMBERS = 256
-TASK_SHINGLES = 1_000_000
-# Centres of a bucket's rest in the first and in any round at most; each round takes so many times
-# more. Within the limit up to which Spark drops rows of lower rank before it shuffles them (1000).
-REST_CENTRES = 16
-CENTRES = 256
+# A bucket's rest takes another star if the last one took at least one in so many of its members.
+TAKEN = 4
+# In a star of more members than LARGE, shingles that set apart one in COMMON of them come last.
+# About SAMPLE members tell which these are; any order gives the same links.
+LARGE = 32
+COMMON = 4
+SAMPLE = 64
 
 
 @dataclass(frozen=True)
@@ -141,167 +144,149 @@ def _shingle_sets(words: int):
 
 
 def _judged(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` with shared shingles ``s``, sizes ``na, nb``, ``near`` and distance ``gap``."""
+    """Pairs ``(a, b)`` with ``near``, the size ``n`` of ``a``, and in how many shingles they differ:
+    ``own`` that only ``a`` holds and ``lacks`` that only ``b`` does.
+
+    Where pairs have a column ``of``, the members of the star of ``b``, these are listed as
+    ``apart``: all in a large star, else as many as are looked up.
+    """
     left = sets.select(F.col("rid").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("rid").alias("b"), F.col("shingles").alias("sb"))
     joined = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("sa", "sb"))
-    counted = joined.select("a", "b", shared.alias("s"), F.size("sa").alias("na"), F.size("sb").alias("nb"))
-    union = F.col("na") + F.col("nb") - F.col("s")
-    near = (100 * F.col("s") >= percent * union).alias("near")
-    return counted.select("*", near, (1 - F.col("s") / union).alias("gap"))
-
-
-def _finish(percent: int):
-    """Links between the components of what is left of one small bucket."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("a").sort_values("a")
-        ids, sets = rows["a"].to_numpy(), list(rows["shingles"])
-        root = rows["root"].to_numpy().copy()
-        out = []
-        for i in range(1, len(ids)):
-            for j in np.flatnonzero(root[:i] != root[i]):
-                if root[i] == root[j]:  # joined meanwhile
-                    continue
-                few, many = sorted((len(sets[i]), len(sets[j])))
-                if 100 * few < percent * many:
-                    continue
-                shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if 100 * shared >= percent * (few + many - shared):
-                    out.append((ids[i], ids[j]))
-                    root[root == root[i]] = root[j]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+    counted = joined.select("*", F.size("sa").alias("n"), F.size("sb").alias("nb"), shared.alias("s"))
+    near = (100 * F.col("s") >= percent * (F.col("n") + F.col("nb") - F.col("s"))).alias("near")
+    columns = ["a", "b", near, "n", (F.col("n") - F.col("s")).alias("own"), (F.col("nb") - F.col("s")).alias("lacks")]
+    if "of" in pairs.columns:
+        listed = F.concat(F.array_except("sa", "sb"), F.array_except("sb", "sa"))
+        columns += ["of", F.when(F.col("of") > LARGE, listed).otherwise(_first(listed, percent)).alias("apart")]
+    return counted.select(*columns)
 
-    return run
 
+def _first(listed: Column, percent: int) -> Column:
+    """What of a text of ``n`` shingles is looked up at most."""
+    return F.slice(listed, 1, F.floor((100 - percent) * F.col("n") / percent).cast("int") + 1)
 
-def _shared(members: DataFrame) -> DataFrame:
+
+def _shared(members: DataFrame, workspace: Workspace) -> DataFrame:
     """Members ``(key, a)`` of buckets that hold several, with their number ``n``."""
     sizes = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    return members.join(sizes, "key")
-
+    # Stored, so that the join may split a bucket that is large.
+    return members.join(workspace.store(sizes, "sizes"), "key")
 
-def _weights(todo: DataFrame) -> DataFrame:
-    return todo.groupBy("a").agg(F.sum("n").alias("weight"))
 
-
-def _stars(todo: DataFrame, weights: DataFrame) -> DataFrame:
+def _stars(todo: DataFrame, weights: DataFrame, workspace: Workspace) -> DataFrame:
     """Each member with its bucket's centre: the member that shares buckets with most others.
 
     In a family of edited copies that is the text the others come from, near to all.
     """
     ranked = todo.join(weights, "a")
     first = F.max(F.struct("weight", (-F.col("a")).alias("minus")))["minus"]
-    centres = ranked.groupBy("key").agg((-first).alias("b"))
+    centres = workspace.store(ranked.groupBy("key").agg((-first).alias("b")), "centres")
     return todo.join(centres, "key").filter("a != b").select("key", "a", "b")
 
 
-def _rest_stars(rest: DataFrame, weights: DataFrame, centres: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs ``(key, a, b)`` of members and centres of a rest, and its members that are no centres.
-
-    Centres lie outside the component that holds most of the rest, so that it is finished when
-    they all have been one. Members of a centre's own component are not compared with it.
-    """
-    order = Window.partitionBy("key").orderBy(F.desc("weight"), "a")
-    ranked = rest.filter("root != major").join(weights, "a").withColumn("rank", F.row_number().over(order))
-    first = ranked.filter(F.col("rank") <= centres)
-    chosen = first.groupBy("key").agg(F.collect_list(F.struct(F.col("a").alias("b"), F.col("root").alias("rb"))).alias("centres"))
-    both = rest.join(chosen, "key").withColumn("centre", F.array_contains(F.col("centres.b"), F.col("a")))
-    pairs = both.select("key", "a", "root", "centre", F.explode("centres").alias("c")).select("*", "c.b", "c.rb")
-    pairs = pairs.filter("root != rb and (a > b or not centre)").select("key", "a", "b", "centre")
-    return pairs, both.filter("not centre").select("key", "a", "size")
-
-
 def _rooted(df: DataFrame, roots: DataFrame, node: str, name: str) -> DataFrame:
     own = roots.select(F.col("node").alias(node), F.col("root").alias(name))
     return df.join(own, node, "left").withColumn(name, F.coalesce(name, node))
 
 
 def _roots(todo: DataFrame, weights: DataFrame, sets: DataFrame, percent: int, workspace: Workspace) -> DataFrame:
-    """Components of all members of ``todo`` that have a confirmed link.
-
-    The first round goes over all buckets as joins. What is left of a bucket and lies in
-    several components is finished in one task where it is small. A large rest stays a bucket
-    and takes another round with more centres, so that rounds are few.
-    """
-    known_rounds, links, roots = [], None, None
-    centres = 1
-    others = None
+    """Components of all members of ``todo`` that have a confirmed link."""
+    rounds, roots = [], None
     while not todo.isEmpty():
-        if centres == 1:
-            star = workspace.store(_stars(todo, weights), "star")
-        else:
-            star, others = _rest_stars(todo, weights, centres)
-            star = workspace.store(star, "star")
-        judged = workspace.store(_judged(star.select("a", "b").distinct(), sets, percent), "judged")
-        known_rounds.append(judged)
-        known = star.join(judged, ["a", "b"])
-        near = judged.filter("near").select("a", "b")
-        roots = components(near if links is None else near.unionAll(links), workspace, roots)
-        if others is None:
-            left = known.filter("not near").select("key", "a", F.col("na").alias("size"))
-        else:
-            left = others.join(known.filter("near and not centre").select("key", "a").distinct(), ["key", "a"], "left_anti")
-        left = workspace.store(_rooted(left, roots, "a", "root"), "left")
-        parts = left.groupBy("key", "root").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
-        totals = parts.groupBy("key").agg(
-            F.sum("n").alias("n"), F.sum("size").alias("bulk"), F.count("*").alias("roots"),
-            F.max(F.struct("n", "root"))["root"].alias("major"),
-        )
-        totals = workspace.store(totals.filter("roots > 1").select("key", "n", "bulk", "major"), "totals")
-        fits = (F.col("n") <= TASK_MEMBERS) & (F.col("bulk") <= TASK_SHINGLES)
-        small = left.join(totals.filter(fits).select("key"), "key")
-        held = small.join(sets.withColumnRenamed("rid", "a"), "a").select("key", "a", "root", "shingles")
-        finished = held.groupBy("key").applyInPandas(_finish(percent), "a bigint, b bigint")
-        links = workspace.store(finished, "finished")
-        todo = workspace.store(left.join(totals.filter(~fits).select("key", "n", "major"), "key"), "todo")
-        weights = _weights(todo)
-        centres = min(REST_CENTRES * centres, CENTRES)
-    if not known_rounds:
+        star = workspace.store(_stars(todo, weights, workspace), "star")
+        pairs = workspace.store(star.select("a", "b").distinct(), "pairs")
+        members = workspace.store(pairs.groupBy("b").agg(F.count("*").alias("of")), "members")
+        judged = workspace.store(_judged(pairs.join(members, "b"), sets, percent), "judged")
+        roots = components(judged.filter("near").select("a", "b"), workspace, roots)
+        known = star.join(judged.select("a", "b", "near"), ["a", "b"])
+        taken = known.groupBy("key").agg(F.count("*").alias("of"), F.sum(F.col("near").cast("int")).alias("taken"))
+        again = taken.filter((TAKEN * F.col("taken") >= F.col("of")) & (F.col("of") - F.col("taken") > 1))
+        again = workspace.store(again.select("key", F.lit(True).alias("again")), "again")
+        marked = workspace.store(known.join(again, "key", "left"), "known")
+        last = marked.groupBy("a", "b").agg(F.max(F.col("again").isNull()).alias("last"))
+        rounds.append(judged.join(last, ["a", "b"]))
+        todo = workspace.store(marked.filter("again and not near").select("key", "a"), "todo")
+    if not rounds:
         return todo.select(F.col("a").alias("node"), F.col("a").alias("root")).limit(0)
-    roots = components(links, workspace, roots)
-    known = reduce(DataFrame.unionAll, known_rounds).distinct()
-    fringe = _fringe(known, roots, sets, percent, workspace)
-    found = workspace.store(_judged(fringe, sets, percent).filter("near").select("a", "b"), "fringe")
+    pairs = _between_stars(reduce(DataFrame.unionAll, rounds), roots, percent, workspace)
+    found = workspace.store(_judged(pairs, sets, percent).filter("near").select("a", "b"), "found")
     return components(found, workspace, roots)
 
 
-def _fringe(
-    known: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, workspace: Workspace
-) -> DataFrame:
-    """Pairs around one centre that no star compared, could be linked, and would join two components.
+def _between_stars(known: DataFrame, roots: DataFrame, percent: int, workspace: Workspace) -> DataFrame:
+    """Pairs of members of one star that it has not compared and that could be linked.
 
-    Of x outside and y near centre c, at most min(|x & c|, |y & c|) shared shingles lie in c.
-    So x and y are compared only if that is enough, or if they share shingles outside c.
+    Those are pairs of which the centre took one, and in a bucket's last star also pairs of which
+    it took none. Let ``d`` shingles set a text of ``n`` apart from the centre. Texts x and y
+    are linked if they differ in ``r * (nx + ny)`` shingles or fewer, ``r`` being (1 - t) / (1 + t)
+    for the similarity t. They differ in ``dx + dy`` less twice the number ``k`` of those that set
+    both apart, so ``2 * k >= dx + dy - r * (nx + ny)``, and that is above 0 unless the centre took
+    both. Hence, in any common order, the first that sets both apart is followed by
+    ``k - 1`` others in each list. Of the text with the smaller ``d - r * n`` it is
+    among the first ``r * n + 1``. Of the other it is among the first ``r * n * (1 + 1 / t) + 1``,
+    as ``dx`` and ``dy`` are no further apart than the texts and sizes differ by t at most.
     """
-    slack = 2 * (1 - percent / 100) + 1e-9
-    outer = known.filter((~F.col("near")) & (F.col("gap") <= slack))
-    outer = _rooted(_rooted(outer, roots, "a", "ra"), roots, "b", "rb").filter("ra != rb")
-    outer = workspace.store(
-        outer.select(F.col("b").alias("c"), F.col("a").alias("x"), F.col("s").alias("sx"), F.col("na").alias("nx")),
-        "outer",
+    less, more = 100 - percent, 100 + percent  # r is less / more
+    rooted = _rooted(known.withColumnRenamed("b", "c"), roots, "a", "root")
+    held = workspace.store(rooted.withColumn("d", F.col("own") + F.col("lacks")), "stars")
+    # A star that took all its members has compared all that matters.
+    open_ = workspace.store(held.filter("not near").select("c").distinct(), "open")
+    columns = ["a", "root", "near", "last", "n", "own", "lacks", "d"]
+    indexed = _rare_first(held.join(open_, "c"), percent, workspace)
+    index = workspace.store(indexed.select("c", *columns, F.posexplode("first").alias("at", "shingle")), "index")
+    small = index.filter(more * F.col("at") <= less * F.col("n"))
+    x, y = (
+        side.select("c", "shingle", F.struct(*columns, "at").alias(name))
+        for side, name in ((small, "x"), (index, "y"))
+    )
+
+    def both(f: Callable) -> tuple[Column, Column]:
+        return f(F.col("x")), f(F.col("y"))
+
+    def least(f: Callable) -> Column:
+        return F.least(*both(f))
+
+    def may_share(k: Column) -> Column:
+        dx, dy = both(lambda t: t["d"])
+        nx, ny = both(lambda t: t["n"])
+        return more * (dx + dy - 2 * k) <= less * (nx + ny)
+
+    excess_x, excess_y = both(lambda t: more * t["d"] - less * t["n"])
+    last_x, last_y = both(lambda t: t["last"] & ~t["near"])
+    fits = [
+        (excess_x < excess_y) | ((excess_x == excess_y) & (F.col("x.a") < F.col("y.a"))),
+        F.col("x.root") != F.col("y.root"),
+        (F.col("x.near") != F.col("y.near")) | (last_x & last_y),
+        100 * least(lambda t: t["n"]) >= percent * F.greatest("x.n", "y.n"),
+        may_share(least(lambda t: t["own"]) + least(lambda t: t["lacks"])),
+        may_share(least(lambda t: t["d"] - t["at"])),
+    ]
+    joined = x.alias("l").join(
+        y.alias("r"),
+        (F.col("l.c") == F.col("r.c")) & (F.col("l.shingle") == F.col("r.shingle")) & reduce(Column.__and__, fits),
+    )
+    return joined.select(F.col("x.a").alias("a"), F.col("y.a").alias("b")).distinct()
+
+
+def _rare_first(stars: DataFrame, percent: int, workspace: Workspace) -> DataFrame:
+    """``stars`` with ``first``, what is looked up of ``apart``; in a large star its rare ones first."""
+    some = F.pmod(F.xxhash64("c", "a"), F.col("of")) < SAMPLE
+    large = stars.filter((F.col("of") > LARGE) & some)
+    counts = large.select("c", "of", F.explode("apart").alias("shingle")).groupBy("c", "of", "shingle").agg(
+        F.count("*").alias("n")
+    )
+    # So many times what sets a member apart on average, at most.
+    common = counts.filter(COMMON * F.col("n") >= F.least("of", F.lit(SAMPLE))).groupBy("c").agg(
+        F.sort_array(F.collect_list(F.struct("n", "shingle")))["shingle"].alias("common")
     )
-    inner = known.filter("near").join(outer.select(F.col("c").alias("b")).distinct(), "b", "left_semi")
-    inner = inner.select(F.col("b").alias("c"), F.col("a").alias("y"), F.col("s").alias("sy"), F.col("na").alias("ny"))
-    enough = (100 + percent) * F.least("sx", "sy") >= percent * (F.col("nx") + F.col("ny"))
-    # Only texts shorter than the centre can do without others' shingles.
-    least = (100 + percent) * F.col("sx") >= percent * F.col("nx")
-    inside = outer.filter(least).join(inner, "c").filter(enough).select("x", "y")
-
-    def beyond(df: DataFrame, node: str) -> DataFrame:
-        own = sets.select(F.col("rid").alias(node), F.col("shingles").alias("own"))
-        core = sets.select(F.col("rid").alias("c"), F.col("shingles").alias("core"))
-        both = df.select("c", node).join(own, node).join(core, "c")
-        return both.select("c", node, F.explode(F.array_except("own", "core")).alias("shingle"))
-
-    outside = beyond(outer, "x").join(beyond(inner, "y"), ["c", "shingle"])
-    counted = outside.groupBy("c", "x", "y").agg(F.count("*").alias("n"))
-    reach = counted.join(outer, ["c", "x"]).join(inner, ["c", "y"])
-    most = F.col("n") + F.least("sx", "sy")
-    reach = reach.filter((100 + percent) * most >= percent * (F.col("nx") + F.col("ny"))).select("x", "y")
-    pairs = inside.unionAll(reach).distinct()
-    return pairs.select(F.col("x").alias("a"), F.col("y").alias("b"))
+    known = stars.join(workspace.store(common, "common"), "c", "left")
+    rare = F.array_except("apart", "common")
+    # Both in the order of their first list.
+    last = F.array_except("common", F.array_except("common", "apart"))
+    ordered = F.when(F.col("common").isNull(), F.col("apart")).otherwise(F.concat(rare, last))
+    return known.withColumn("first", _first(ordered, percent))
 
 
 def near_duplicates(
@@ -326,13 +311,14 @@ def near_duplicates(
             map_batches(rows.select("rid", "text"), _sketch(settings), schema), "sketches"
         )
         some = drawn.filter("n > 0")
-        first = some.groupBy("mark").agg(F.min("rid").alias("a"), F.count("*").alias("copies"))
-        nodes = workspace.store(some.select("rid", "mark").join(first, "mark").select("rid", "a", "copies"), "nodes")
+        # Stored, so that the join may split a large group of copies.
+        first = workspace.store(some.groupBy("mark").agg(F.min("rid").alias("a")), "marks")
+        nodes = workspace.store(some.select("rid", "mark").join(first, "mark").select("rid", "a"), "nodes")
         leaders = nodes.filter("rid = a").select("rid")
         banded = some.join(leaders, "rid", "left_semi")
         banded = banded.select(F.col("rid").alias("a"), F.explode("bands").alias("key"))
-        buckets = workspace.store(_shared(banded.select("key", "a")), "buckets")
-        weights = workspace.store(_weights(buckets), "weights")
+        buckets = workspace.store(_shared(banded.select("key", "a"), workspace), "buckets")
+        weights = workspace.store(buckets.groupBy("a").agg(F.sum("n").alias("weight")), "weights")
 
         wanted = weights.select(F.col("a").alias("rid"))
         texts = rows.select("rid", "text")
