@@ -39,7 +39,7 @@ class WordTokenizer:
 
     Such a tokenizer gives a text the ids of its words, one after the other, so each word is
     tokenized once and kept, within a bound. Words that Unicode may lower by context, or that
-    hold the separator, and tokenizers of other kinds, take the plain way.
+    hold the separator or an added token, and tokenizers of other kinds, take the plain way.
     """
 
     KEEP = 400_000
@@ -53,6 +53,9 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # These are looked for in a text as it is, so a text that could spell one is left as it is.
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [token.content.lower() for token in added]
         self.separator_id = self._plain(self.SEPARATOR)
         self.by_word = len(self.separator_id) == 1 and self._drops_blanks()
         # Of a word of plain letters the model alone makes the same tokens, at half the cost.
@@ -106,12 +109,13 @@ class WordTokenizer:
         new, marks = self.new, self.marks
         self.new.update([(word, new[word[:-1]] + marks[word[-1]]) for word in tails])
 
-    @staticmethod
-    def _lowered(text: str) -> str | None:
+    def _lowered(self, text: str) -> str | None:
         """The text in lower case; None where this step might not agree with the tokenizer's."""
         if any(c in text for c in ODD):
             return None
         low = text.lower()
+        if any(token in low for token in self.added):
+            return None
         if text.isascii() or (is_normalized("NFC", text) and is_normalized("NFC", low)):
             return low
         return None
