@@ -42,7 +42,7 @@ class ItemBlock:
     among the documents' runs of that many words.
     """
 
-    def __init__(self, ids: list[int], texts: list[bytes], words: int, percent: int):
+    def __init__(self, ids: list[int | None], texts: list[bytes], words: int, percent: int):
         hashes, counts = word_hashes(texts, WordHashes())
         of_text = np.split(hashes, np.cumsum(counts)[:-1])
         sets = [np.zeros(0, np.uint64)] * len(texts)
@@ -53,7 +53,7 @@ class ItemBlock:
                 width = min(len(own), words)
                 sets[i] = np.unique(shingles(own, np.array([len(own)]), width)[0])
                 by_width[width].append(i)
-        self.ids = np.array(ids, np.int64)
+        self.ids = pa.array(ids, pa.int64())
         self.sizes = np.array([len(s) for s in sets], np.int64)
         self.need = needed(self.sizes, percent)
         self.widths = {}
@@ -95,8 +95,9 @@ def _search(block):
                 found = list(items.matches(*word_hashes(texts, cache)))
                 text, item, shared = np.array(found, np.int64).reshape(-1, 3).T
                 rids = batch.column(0).take(pa.array(text + first))
+                ids = items.ids.take(pa.array(item))
                 yield pa.RecordBatch.from_arrays(
-                    [rids, *map(pa.array, (items.ids[item], items.sizes[item], shared))],
+                    [rids, ids, pa.array(items.sizes[item]), pa.array(shared)],
                     ["id", "item_id", "n_shingles", "n_shared"],
                 )
 
@@ -118,8 +119,7 @@ def contained_items(
     ``percent`` or more of an item's distinct shingles of ``words`` words.
 
     Words are runs without blanks, A-Z in lower case. Null and blank texts contain nothing,
-    blank items are in nothing. Repeated rows and null ids give a row each; a null item
-    id is given as 0. Items come to the tasks in blocks of bounded size, each with a scan of its
+    blank items are in nothing. Repeated rows and null ids, of items too, give a row each. Items come to the tasks in blocks of bounded size, each with a scan of its
     own over ``docs``; their number grows with the items, not with the documents.
     """
     spark = docs.sparkSession
@@ -133,7 +133,7 @@ def contained_items(
         own = named.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b) if blocks > 1 else named
         table = own.toArrow()
         texts = [text.encode() for text in table["text"].to_pylist()]
-        ids = [0 if i is None else i for i in table["id"].to_pylist()]
+        ids = table["id"].to_pylist()
         if not texts:
             continue
         block = spark.sparkContext.broadcast(ItemBlock(ids, texts, words, percent))
