@@ -1,20 +1,21 @@
-"""Full and incremental loads from snapshots, on hand-made eviction rows."""
+"""Full and incremental loads, page by page, on hand-made eviction rows."""
 
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark import storage
-from tidemark.functions.casts import text_schema
 from tidemark.operators.merge import MultipleMatchError
 from tidemark.plans.evictions import MAIN_SCHEMA, REFERENCE_SCHEMA, evictions_spec
 from tidemark.plans.loads import Loader
 from tidemark.plans.spec import LoadSpec
-from tidemark.sources.snapshot import write_snapshot
+from tidemark.sources.landing import DriftError
+from tidemark.sources.table_pages import TablePages
 from tidemark.sources.tables import MissingTable, StoredTable
 from tidemark.workspace import shared_root
 
@@ -36,34 +37,28 @@ class Site:
 
     def __init__(self, spark, folder, **options):
         self.spark = spark
-        self.remote = folder / "remote"
-        readers = [
-            {"client": "snapshot", "location": str(self.remote / name), "page_stride": "2"}
-            for name in ("main", "reference")
-        ]
-        self.loader = Loader(spark, evictions_spec(*readers, **options), str(folder / "lake"))
+        self.loader = Loader(spark, evictions_spec({}, {}, **options), str(folder / "lake"))
 
-    def serve(self, rows, areas=AREAS, since=None):
-        names = MAIN_SCHEMA.names
+    def serve(self, rows, areas=AREAS, extra=()):
+        """``rows`` from now on, and ``areas``; without these, reading them fails."""
+        names = [*MAIN_SCHEMA.names, *extra]
         data = [
             (f"{i:05d}", r["_created"], r["_created"], *[r.get(n) for n in names])
             for i, r in enumerate(rows)
         ]
         schema = StructType()
-        for name in SYSTEM:
+        for name in [*SYSTEM, *names]:
             schema.add(name, "string")
-        for field in text_schema(MAIN_SCHEMA):
-            schema.add(field)
         main = self.spark.createDataFrame(data, schema)
-        write_snapshot(
-            main, str(self.remote / "main"), "row_id", since, "created", "updated", SYSTEM
-        )
+        pages = TablePages(main, "row_id", "created", "updated", SYSTEM, stride=2)
+        reference = None
         if areas is not None:
             ref = self.spark.createDataFrame(areas, f"{NAME} string, {POPULATION} string")
-            for name in REFERENCE_SCHEMA.names:
-                if name not in ref.columns:
-                    ref = ref.withColumn(name, F.lit(None).cast("string"))
-            write_snapshot(ref, str(self.remote / "reference"), NAME)
+            reference = TablePages(ref, NAME, stride=2)
+        spec = self.loader.spec
+        self.loader.spec = replace(
+            spec, main=replace(spec.main, table=pages), reference=replace(spec.reference, table=reference)
+        )
 
     def rows(self, *columns):
         columns = columns or ("docket_number", "eviction_possession", "bin", "nta")
@@ -108,7 +103,7 @@ def test_delta_load(site):
         eviction("4", created="2022-04-03"),
     ]
     # The reference dataset is not read again.
-    site.serve(changed, areas=None, since="2022-04-04")
+    site.serve(changed, areas=None)
     site.loader.delta_load("2022-04-06")
     expected = [
         (1, "P", 1, ("Park", 100)),
@@ -123,7 +118,7 @@ def test_delta_load(site):
 def test_null_key_rows_are_reported_and_inserted_again(site):
     site.serve([eviction("1"), eviction(None), eviction("2", day=None)])
     assert site.loader.full_load("2022-04-05").null_key_rows == 2
-    site.serve([eviction(None), eviction("2", day=None)], since="2022-03-01")
+    site.serve([eviction(None), eviction("2", day=None)])
     assert site.loader.delta_load("2022-04-06", "36").null_key_rows == 2
     assert sorted(r[0] for r in site.rows() if r[0]) == [1, 2, 2]
     assert len(site.rows()) == 5
@@ -133,7 +128,7 @@ def test_empty_delta_changes_nothing(site):
     site.serve([eviction("1")])
     site.loader.full_load("2022-04-05")
     before = site.rows()
-    site.serve([], areas=None, since="2022-04-04")
+    site.serve([], areas=None)
     site.loader.delta_load("2022-04-06")
     assert site.rows() == before
 
@@ -153,10 +148,10 @@ def test_delta_without_full_load(site):
 
 def test_delta_onto_created_tables(spark, site):
     site.loader.create_tables()
-    site.serve([eviction("1")], areas=None, since="2022-04-04")
+    site.serve([eviction("1")], areas=None)
     site.loader.delta_load("2022-04-06")
     assert site.rows() == []
-    site.serve([eviction("1", created="2022-04-04")], areas=None, since="2022-04-04")
+    site.serve([eviction("1", created="2022-04-04")], areas=None)
     site.loader.delta_load("2022-04-06")
     assert site.rows() == [(1, "P", None, ("Park", None))]
     site.loader.create_views()
@@ -172,7 +167,7 @@ def test_names_follow_the_loads(spark, site):
         site.serve([eviction(str(k)) for k in range(n)])
         site.loader.full_load("2022-04-06")
         assert spark.sql("select count(*) from evictions").first()[0] == n
-    site.serve([eviction("9", created="2022-04-06")], areas=None, since="2022-04-05")
+    site.serve([eviction("9", created="2022-04-06")], areas=None)
     site.loader.delta_load("2022-04-07")
     assert spark.sql("select count(*) from evictions").first()[0] == 4
     assert spark.sql("select count(*) from stg_evictions").first()[0] == 1
@@ -187,13 +182,52 @@ def test_failed_cast_leaves_the_target(site):
     assert [r[0] for r in site.rows()] == [1]
 
 
+def test_all_that_is_sent_is_landed(spark, site):
+    site.serve([every_column("1", fee="7.50", note="x"), eviction("2", bin="3")], extra=("fee", "note"))
+    report = site.loader.full_load("2022-04-05")
+    main = site.loader.spec.main
+    assert report.drift[main.name].undeclared == ("fee", "note")
+    landed = spark.read.json(f"{site.loader.root}/landing/{main.name}/2022/4/5")
+    assert {"fee", "note"} <= set(landed.columns)
+    assert [r["fee"] for r in landed.filter("docket_number = '1'").collect()] == ["7.50"]
+
+
+def every_column(docket, **values):
+    full = {name: "1" for name in MAIN_SCHEMA.names}
+    full |= {"executed_date": "2022-04-01", "nta": "Park", "docket_number": docket}
+    return {**full, "_created": "2022-04-01", **values}
+
+
+def test_renamed_key_fails_a_strict_load(spark, tmp_path):
+    site = Site(spark, tmp_path)
+    site.serve([every_column("1")])
+    site.loader.full_load("2022-04-05")
+    before = site.rows()
+    renamed = [every_column(str(n), latitude=None, lat="1") for n in range(3)]
+    site.serve(renamed, extra=("lat",))
+    with pytest.raises(DriftError, match="lat"):
+        site.loader.full_load("2022-04-06")
+    assert site.rows() == before
+    # One record that still has the key, or a key that is only new, is no rename.
+    site.serve([*renamed, every_column("9")], extra=("lat",))
+    report = site.loader.full_load("2022-04-07")
+    assert report.drift[site.loader.spec.main.name].undeclared == ("lat",)
+
+
+def test_permissive_load_reports_a_renamed_key(spark, tmp_path):
+    site = Site(spark, tmp_path, strict=False)
+    site.serve([every_column("1", latitude=None, lat="1")], extra=("lat",))
+    drift = site.loader.full_load("2022-04-05").drift[site.loader.spec.main.name]
+    assert (drift.undeclared, drift.absent) == (("lat",), ("latitude",))
+
+
 def test_two_populations(site):
     areas = [("Park", "100"), ("Park", "101")]
     site.serve([eviction("1")], areas)
     site.loader.full_load("2022-04-05")
     assert [r[3] for r in site.rows()] == [("Park", 100), ("Park", 101)]
-    site.serve([eviction("1")], areas=None, since="2022-04-04")
-    site.serve([eviction("1", created="2022-04-06")], areas=None, since="2022-04-04")
+    site.serve([eviction("1")], areas=None)
+    site.serve([eviction("1", created="2022-04-06")], areas=None)
     with pytest.raises(MultipleMatchError):
         site.loader.delta_load("2022-04-06")
     assert len(site.rows()) == 2
@@ -212,7 +246,7 @@ def test_kept_column_can_be_turned_off(spark, tmp_path):
     site = Site(spark, tmp_path, keep_target=())
     site.serve([eviction("1")])
     site.loader.full_load("2022-04-05")
-    site.serve([eviction("1", eviction_possession="new")], since="2022-03-01")
+    site.serve([eviction("1", eviction_possession="new")])
     site.loader.delta_load("2022-04-05", 35)
     assert [r[1] for r in site.rows()] == ["new"]
 
@@ -343,6 +377,6 @@ def test_workspace_is_dropped_after_a_load(spark, site):
     before = storage.child_names(spark, shared_root(spark))
     site.serve([eviction("1")])
     site.loader.full_load("2022-04-05")
-    site.serve([eviction("2", created="2022-04-05")], areas=None, since="2022-04-04")
+    site.serve([eviction("2", created="2022-04-05")], areas=None)
     site.loader.delta_load("2022-04-06")
     assert storage.child_names(spark, shared_root(spark)) == before

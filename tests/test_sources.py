@@ -9,73 +9,53 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.functions.casts import coerce, text_schema
+from tidemark.functions.casts import CORRUPT, coerce
+from tidemark.functions.json_text import flatten_pages, page_records
 from tidemark.operators.changes import changed_since
+from tidemark.operators.pages import ROW_NO, number_rows, one_page, page_offsets
 from tidemark.sources import clients, paged
-from tidemark.sources.clients import HttpClient, PageError, SnapshotClient
-from tidemark.sources.landing import land, read_landed
-from tidemark.sources.snapshot import write_snapshot
+from tidemark.sources.clients import HttpClient, PageError
+from tidemark.sources.landing import drift_of, land, land_pages, read_landed
+from tidemark.sources.table_pages import TablePages
 
 SCHEMA = StructType().add("num", "long").add("name", "string")
 
 
 @pytest.fixture(scope="module")
-def pages_35(spark, tmp_path_factory):
-    location = str(tmp_path_factory.mktemp("pages"))
-    df = spark.range(35).select(
-        F.concat(F.lit("row-"), F.format_string("%04d", 34 - F.col("id"))).alias(":id"),
+def rows_35(spark):
+    return spark.range(35).select(
+        F.format_string("row-%04d", 34 - F.col("id")).alias(":id"),
         (34 - F.col("id")).alias("num"),
         F.concat(F.lit("n"), 34 - F.col("id")).alias("name"),
     )
-    write_snapshot(df.repartition(5), location, ":id", hidden=(":id",))
-    return location
 
 
-def read(spark, location, schema=SCHEMA, **options):
-    paged.register(spark)
-    reader = spark.read.format(paged.FORMAT).schema(text_schema(schema))
-    return reader.options(client="snapshot", location=location, **options).load()
-
-
-def test_all_pages_are_read(spark, pages_35):
-    df = read(spark, pages_35, page_stride=10)
-    assert sorted(int(r["num"]) for r in df.collect()) == list(range(35))
-    assert df.select(F.spark_partition_id()).distinct().count() == 4
-
-
-def test_pages_follow_row_id_order(pages_35):
-    page = SnapshotClient(pages_35, ["num"]).page(20, 10, None)
-    assert page["num"].to_pylist() == [str(n) for n in range(20, 30)]
-
+@pytest.mark.parametrize("parts", [1, 5])
+def test_rows_are_numbered_in_order(rows_35, workspace, parts):
+    numbered = number_rows(rows_35.repartition(parts), ":id", workspace)
+    assert sorted((r[ROW_NO], r["num"]) for r in numbered.collect()) == [(n, n) for n in range(35)]
+    assert sorted(r["num"] for r in one_page(numbered, 20, 10).collect()) == list(range(20, 30))
+    assert one_page(numbered, 35, 10).collect() == []
+    assert number_rows(rows_35.limit(0), ":id", workspace).collect() == []
 
-def test_several_pages_per_task(spark, pages_35):
-    df = read(spark, pages_35, page_stride=10, pages_per_task=3)
-    assert df.count() == 35
-    assert df.select(F.spark_partition_id()).distinct().count() == 2
 
+def test_no_task_sees_all_rows(rows_35, workspace):
+    plan = number_rows(rows_35, ":id", workspace)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SinglePartition" not in plan
 
-def test_limit_below_stride_reads_every_row(spark, pages_35):
-    got = [int(r["num"]) for r in read(spark, pages_35, page_stride=10, page_limit=3).collect()]
-    assert sorted(got) == list(range(35))
 
+def test_page_starts(spark, rows_35):
+    assert [r[0] for r in page_offsets(rows_35, 10).collect()] == list(paged.page_starts(35, 10)) == [0, 10, 20, 30]
+    assert page_offsets(rows_35.limit(0), 10).collect() == [] == list(paged.page_starts(0, 10))
 
-@pytest.mark.parametrize("options", [{"page_stride": 10, "page_limit": 11}, {"page_stride": 0}])
-def test_overlapping_or_empty_pages_are_refused(spark, pages_35, options):
-    with pytest.raises(Exception, match="page_limit"):
-        read(spark, pages_35, **options).count()
 
-
-def test_no_pages(spark, tmp_path):
-    empty = spark.createDataFrame([], SCHEMA)
-    write_snapshot(empty, str(tmp_path), "num")
-    df = read(spark, str(tmp_path))
-    assert df.collect() == []
-    assert df.columns == ["num", "name"]
-
-
-def test_missing_snapshot(spark, pages_35):
-    with pytest.raises(Exception, match="no snapshot"):
-        read(spark, pages_35, since="2024-01-01").count()
+def test_table_pages(rows_35, workspace):
+    source = TablePages(rows_35.repartition(4), ":id", hidden=(":id",), stride=10)
+    pages = sorted(source.pages(None, workspace).collect(), key=lambda p: int(p["after"]))
+    sent = [[int(r["num"]) for r in json.loads(p["body"])] for p in pages]
+    assert sent == [list(range(k, min(k + 10, 35))) for k in range(0, 40, 10)]
+    assert json.loads(pages[0]["body"])[1] == {"num": "1", "name": "n1"}
+    assert source.serving(rows_35.limit(0)).pages(None, workspace).collect() == []
 
 
 DELTA_EDGES = [
@@ -97,13 +77,13 @@ def test_changed_since_is_inclusive_and_either_way(spark, kind):
     assert sorted(r["n"] for r in got.collect()) == [2, 3, 4, 5, 7]
 
 
-def test_delta_pages(spark, tmp_path):
-    df = spark.createDataFrame(DELTA_EDGES, "num int, c string, u string")
-    df = df.withColumn("name", F.lit("x"))
-    options = {"created": "c", "updated": "u", "hidden": ("c", "u")}
-    write_snapshot(df, str(tmp_path), "num", since="2024-01-02", **options)
-    got = read(spark, str(tmp_path), since="2024-01-02", page_stride=2)
-    assert sorted(int(r["num"]) for r in got.collect()) == [2, 3, 4, 5, 7]
+def test_delta_pages(spark, workspace):
+    df = spark.createDataFrame(DELTA_EDGES, "num int, c string, u string").withColumn("name", F.lit("x"))
+    source = TablePages(df, "num", "c", "u", hidden=("c", "u"), stride=2)
+    pages = source.pages("2024-01-02", workspace)
+    got = coerce(flatten_pages(pages, "body", SCHEMA), SCHEMA)
+    assert sorted(r["num"] for r in got.collect()) == [2, 3, 4, 5, 7]
+    assert pages.count() == 3
 
 
 class Remote:
@@ -122,7 +102,7 @@ class Remote:
 def http(monkeypatch, body, **options):
     remote = Remote(body)
     monkeypatch.setattr(clients.urllib.request, "urlopen", remote)
-    return HttpClient("https://example.org/rows.json", ["num", "name"], **options), remote
+    return HttpClient("https://example.org/rows.json", **options), remote
 
 
 def test_http_count(monkeypatch):
@@ -135,13 +115,16 @@ def test_http_count(monkeypatch):
 
 
 def test_http_page(monkeypatch):
-    body = [{"num": 1.50, "name": None, "extra": "e"}, {"name": True}]
+    body = [{":id": "a", "num": 1.50, "name": None}, {":id": "it's", "extra": "e"}]
     client, remote = http(monkeypatch, body, token="secret")
-    page = client.page(200, 100, "2022-05-02")
-    assert page.to_pydict() == {"num": ["1.5", None], "name": [None, "true"]}
-    query, headers = remote.calls[0]
-    assert query["$order"] == ":id" and query["$limit"] == "100" and query["$offset"] == "200"
-    assert "$where" in query
+    page = client.page("2022-05-02", 100, "k", None, "z")
+    assert (page.rows, page.last_key, json.loads(page.body)) == (2, "it's", body)
+    client.page(None, 100, "k", "it's", None)
+    (first, headers), (second, _) = remote.calls
+    assert first["$order"] == ":id" and first["$limit"] == "100" and first["$select"] == ":*,*"
+    changed = ":created_at>='2022-05-02' OR :updated_at>='2022-05-02'"
+    assert first["$where"] == f"({changed}) AND :id>='k' AND :id<'z'"
+    assert second["$where"] == ":id>'it''s'"
     assert headers["X-app-token"] == "secret"
 
 
@@ -154,62 +137,103 @@ def test_http_without_token_sends_no_header(monkeypatch):
 def test_http_error_body_raises(monkeypatch):
     client, _ = http(monkeypatch, {"message": "bad query"})
     with pytest.raises(PageError, match="bad query"):
-        client.page(0, 10, None)
+        client.page(None, 10, None, None, None)
 
 
 def test_http_refuses_other_addresses_and_dates(monkeypatch):
     with pytest.raises(ValueError):
-        HttpClient("file:///etc/passwd", ["num"])
+        HttpClient("file:///etc/passwd")
     client, _ = http(monkeypatch, [])
     with pytest.raises(ValueError):
         client.count("2022-05-02' OR '1'='1")
 
 
-class PagedRemote(Remote):
-    """Serves ``rows``, honouring limit and offset."""
+class Service(Remote):
+    """Serves ``rows`` by key; ``moves`` come and go before the call of that number."""
+
+    def __init__(self, rows, most=1000, moves=()):
+        super().__init__(None)
+        self.rows = {row[":id"]: row for row in rows}
+        self.most, self.moves = most, dict(moves)
 
     def __call__(self, request, timeout):
         super().__call__(request, timeout)
         query, _ = self.calls[-1]
-        if "$select" in query:
-            return io.BytesIO(json.dumps([{"count": str(len(self.body))}]).encode())
-        first = int(query["$offset"])
-        page = self.body[first : first + int(query["$limit"])]
-        return io.BytesIO(json.dumps(page).encode())
+        for change, row in self.moves.pop(len(self.calls), ()):
+            self.rows.pop(row[":id"], None) if change == "delete" else self.rows.update({row[":id"]: row})
+        keys = sorted(self.rows)
+        for part in query.get("$where", "").split(" AND "):
+            for sign, holds in ((">=", str.__ge__), (">", str.__gt__), ("<", str.__lt__)):
+                if part.startswith(":id" + sign):
+                    bound = part.removeprefix(":id" + sign).strip("'")
+                    keys = [k for k in keys if holds(k, bound)]
+                    break
+        if query.get("$select") == "count(*)":
+            answer = [{"count": str(len(keys))}]
+        else:
+            first = int(query.get("$offset", 0))
+            answer = [self.rows[k] for k in keys[first : first + min(int(query["$limit"]), self.most)]]
+        return io.BytesIO(json.dumps(answer).encode())
+
+
+def served(n):
+    return [{":id": f"row-{k:04d}", "num": k, "name": f"n{k}"} for k in range(n)]
+
+
+def read_all(monkeypatch, remote, **options):
+    monkeypatch.setattr(clients.urllib.request, "urlopen", remote)
+    options = {"location": "https://example.org/rows.json", "token": "t", **options}
+    reader = paged.PagedReader(options)
+    ranges = reader.partitions()
+    bodies = [body for part in ranges for batch in reader.read(part) for body in batch["body"].to_pylist()]
+    return ranges, [row["num"] for body in bodies for row in json.loads(body)]
 
 
 @pytest.mark.parametrize("since", [None, "2022-05-02"])
 def test_reader_over_http(monkeypatch, since):
-    remote = PagedRemote([{"num": n, "name": f"n{n}"} for n in range(35)])
-    monkeypatch.setattr(clients.urllib.request, "urlopen", remote)
-    options = {"location": "https://example.org/rows.json", "token": "t", "page_stride": "10"}
-    if since:
-        options["since"] = since
-    reader = paged.PagedReader(options, text_schema(SCHEMA))
-    pages = reader.partitions()
-    batches = [batch for page in pages for batch in reader.read(page)]
-    assert len(pages) == 4
-    assert [n for batch in batches for n in batch["num"].to_pylist()] == [str(n) for n in range(35)]
+    remote = Service(served(35))
+    options = {"since": since} if since else {}
+    ranges, got = read_all(monkeypatch, remote, page_stride="10", page_limit="4", **options)
+    assert len(ranges) == 4 and got == list(range(35))
+    assert ranges[1] == paged.KeyRange("row-0010", "row-0020")
     assert all(headers["X-app-token"] == "t" for _, headers in remote.calls)
-    assert all(("$where" in query) == (since is not None) for query, _ in remote.calls)
+    assert all((":created_at" in query.get("$where", "")) == (since is not None) for query, _ in remote.calls)
 
 
-def test_service_maximum_below_the_stride(monkeypatch):
-    class Few(PagedRemote):
-        def __call__(self, request, timeout):
-            answer = super().__call__(request, timeout)
-            rows = json.loads(answer.read())
-            return io.BytesIO(json.dumps(rows[:4]).encode())
+def test_several_pages_per_task(monkeypatch):
+    ranges, got = read_all(monkeypatch, Service(served(35)), page_stride="10", pages_per_task="3")
+    assert len(ranges) == 2 and got == list(range(35))
 
-    remote = Few([{"num": n, "name": f"n{n}"} for n in range(35)])
-    monkeypatch.setattr(clients.urllib.request, "urlopen", remote)
-    options = {"location": "https://example.org/rows.json", "page_stride": "10"}
-    reader = paged.PagedReader(options, text_schema(SCHEMA))
-    batches = [batch for page in reader.partitions() for batch in reader.read(page)]
-    assert [n for batch in batches for n in batch["num"].to_pylist()] == [str(n) for n in range(35)]
-    remote.body = remote.body[:20]
-    with pytest.raises(PageError, match="no rows from 20"):
-        list(reader.read(paged.PageRange(10, 35)))
+
+def test_service_that_sends_fewer_rows_than_asked_for(monkeypatch):
+    _, got = read_all(monkeypatch, Service(served(35), most=3), page_stride="10")
+    assert got == list(range(35))
+
+
+def test_no_rows(monkeypatch):
+    assert read_all(monkeypatch, Service([])) == ([], [])
+
+
+@pytest.mark.parametrize("at", range(2, 16))
+def test_rows_that_come_and_go_while_reading(monkeypatch, at):
+    rows = served(35)
+    moves = [("delete", rows[2]), ("delete", rows[10]), ("delete", rows[20])]
+    moves += [("insert", {":id": f"row-{k:04d}-new", "num": 1000 + k}) for k in (0, 9, 19, 34)]
+    _, got = read_all(monkeypatch, Service(rows, moves={at: moves}), page_stride="10", page_limit="4")
+    assert len(got) == len(set(got))
+    assert set(range(35)) - {2, 10, 20} <= set(got) <= set(range(35)) | {1000, 1009, 1019, 1034}
+
+
+@pytest.mark.parametrize("options", [{"page_stride": "10", "page_limit": "11"}, {"page_stride": "0"}])
+def test_overlapping_or_empty_pages_are_refused(options):
+    with pytest.raises(ValueError, match="page_limit"):
+        paged.PagedReader({"location": "https://example.org", **options})
+
+
+def test_source_has_a_schema_of_its_own(spark):
+    paged.register(spark)
+    df = spark.read.format(paged.FORMAT).load(location="https://example.org/rows.json")
+    assert df.columns == ["after", "body"]
 
 
 def test_busy_service_is_asked_again(monkeypatch):
@@ -223,15 +247,42 @@ def test_busy_service_is_asked_again(monkeypatch):
 
     monkeypatch.setattr(clients.urllib.request, "urlopen", opened)
     monkeypatch.setattr(clients.time, "sleep", waits.append)
-    assert HttpClient("https://example.org/rows.json", ["num"]).count(None) == 35
+    assert HttpClient("https://example.org/rows.json").count(None) == 35
     assert waits == [7, 7]
 
 
-def test_number_columns_are_refused(spark, pages_35):
-    paged.register(spark)
-    reader = spark.read.format(paged.FORMAT).schema(SCHEMA)
-    with pytest.raises(Exception, match="declare these columns as string"):
-        reader.options(client="snapshot", location=pages_35).load().count()
+def test_all_that_records_hold_is_landed(spark, tmp_path):
+    body = """[ {"num": "007", "f": 1.50, "big": 12345678901234567890.123456789012345678, "z": null},
+        {"name": "a \\n b \\u00e9 ü", "nested": {"a": [1, {"b": 2.0}]},
+         "num": null}, {} ]"""
+    pages = spark.createDataFrame([(body,), ("[]",)], "body string")
+    land_pages(pages, str(tmp_path), "rows", "2024-01-02")
+    landed = spark.read.text(f"{tmp_path}/rows/2024/1/2")
+    lines = [r[0] for r in landed.collect()]
+    assert [json.loads(line) for line in lines] == json.loads(body)
+    assert "12345678901234567890.123456789012345678" in lines[0]
+    schema = StructType().add("num", "string").add("f", "string").add("nested", "string").add("gone", "string")
+    raw = read_landed(spark, str(tmp_path), "rows", "2024-01-02", schema)
+    found = {tuple(r)[:4] for r in raw.select(*schema.names).collect()}
+    assert ("007", "1.5", None, None) in found and (None, None, None, None) in found
+    assert any(r[2] and json.loads(r[2]) == {"a": [1, {"b": 2.0}]} for r in found)
+    drift = drift_of(raw, schema)
+    assert drift.undeclared == ("big", "name", "z") and drift.absent == ("gone",)
+
+
+def test_lines_that_are_no_records(spark, tmp_path):
+    path = tmp_path / "rows/2024/1/2"
+    path.mkdir(parents=True)
+    (path / "part").write_text('{"num": "1"}\n\n{"num": \nnot json\n[1]\n{"num": 1, "num": 2}\n')
+    raw = read_landed(spark, str(tmp_path), "rows", "2024-01-02", SCHEMA)
+    rows = {(r["num"], r[CORRUPT]) for r in raw.collect()}
+    assert rows == {("1", None), (None, '{"num": '), (None, "not json"), (None, "[1]"), (None, '{"num": 1, "num": 2}')}
+
+
+def test_an_error_answer_is_no_page(spark):
+    pages = spark.createDataFrame([('{"message": "bad"}',)], "body string")
+    with pytest.raises(Exception, match="expected a JSON list"):
+        page_records(pages).collect()
 
 
 def test_landing_keeps_microseconds_and_replaces_the_day(spark, tmp_path):

@@ -32,26 +32,27 @@ def _refusal(name: str, kind: DataType) -> Column:
     )
 
 
+def _value(field: StructField) -> Column:
+    """The value, cast once; text that cannot be read is an error."""
+    text = quoted(field.name)
+    if isinstance(field.dataType, StringType):
+        return text.alias(field.name)
+    refused = F.raise_error(_refusal(field.name, field.dataType)).cast(field.dataType)
+    read = F.coalesce(text.try_cast(field.dataType), F.when(text.isNotNull(), refused))
+    return read.alias(field.name)
+
+
 def coerce(raw: DataFrame, schema: StructType) -> DataFrame:
     """Strict form: any unreadable line or value is an error.
 
-    The check is a filter, so it stands whichever columns are used later, and it does not
-    lean on ANSI mode, which a session may have turned off.
+    The values are made as one struct, so each of them is checked whichever columns are used
+    later, and the check does not lean on ANSI mode, which a session may have turned off.
     """
     if CORRUPT in raw.columns:
         broken = quoted(CORRUPT).isNotNull()
         message = F.concat(F.lit("unreadable line: "), quoted(CORRUPT))
         raw = raw.filter(F.when(broken, F.raise_error(message).cast("boolean")).otherwise(True))
-    typed = [field for field in schema if not isinstance(field.dataType, StringType)]
-    if typed:
-        refuse = F.lit(True)
-        for field in reversed(typed):
-            refused = F.raise_error(_refusal(field.name, field.dataType)).cast("boolean")
-            refuse = F.when(_unreadable(field.name, field.dataType), refused).otherwise(refuse)
-        raw = raw.filter(refuse)
-    return raw.select(
-        *[quoted(field.name).try_cast(field.dataType).alias(field.name) for field in schema]
-    )
+    return raw.select(F.inline(F.array(F.struct(*[_value(field) for field in schema]))))
 
 
 def coerce_or_reject(raw: DataFrame, schema: StructType) -> tuple[DataFrame, DataFrame]:

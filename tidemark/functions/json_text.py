@@ -1,12 +1,12 @@
-"""Rows held in JSON text, one list of objects per value."""
+"""Records held in JSON text: lists of them in pages, and single ones in lines."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import StructType
 
-from tidemark.functions.casts import text_schema
+from tidemark.functions.casts import CORRUPT
 
 
 def _list_only(text: Column) -> Column:
@@ -15,11 +15,33 @@ def _list_only(text: Column) -> Column:
     return F.when(F.ltrim(text).startswith("["), text).otherwise(F.raise_error(message))
 
 
+def page_records(pages: DataFrame, text: str = "body") -> DataFrame:
+    """``record``: each record of each page, with all its keys, on one line.
+
+    Read as variants, which keep up to 38 digits of a number; a body is no larger than these may be.
+    """
+    records = F.parse_json(_list_only(F.col(text))).cast("array<variant>")
+    return pages.select(F.explode(records).alias("record")).select(F.to_json("record").alias("record"))
+
+
+def read_records(records: DataFrame, schema: StructType, text: str = "record") -> DataFrame:
+    """The declared columns as text, the text of records that are none, and all ``__keys``.
+
+    Nested values are JSON text; a key that is missing is null. A line that is no object, or has a
+    key twice, is no record; blank lines are left out.
+    """
+    fields = records.withColumn("__fields", F.try_parse_json(text).try_cast("map<string,string>"))
+    known = F.col("__fields").isNotNull()
+    return fields.filter(known | (F.trim(text) != "")).select(
+        *[F.col("__fields")[field.name].alias(field.name) for field in schema],
+        F.when(~known, F.col(text)).alias(CORRUPT),
+        F.map_keys("__fields").alias("__keys"),
+    )
+
+
 def flatten_pages(pages: DataFrame, text: str, schema: StructType) -> DataFrame:
-    """One output row, all text, per object in each page."""
-    shape = ArrayType(text_schema(schema))
-    rows = F.from_json(_list_only(F.col(text)), shape, {"mode": "FAILFAST"})
-    return pages.select(F.explode(rows).alias("row")).select("row.*")
+    """One output row, all text, per record in each page."""
+    return read_records(page_records(pages, text), schema).drop("__keys")
 
 
 def first_count(text: Column) -> Column:

@@ -15,14 +15,14 @@ from __future__ import annotations
 
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tidemark.functions.casts import coerce, coerce_or_reject, quoted, text_schema
+from tidemark.functions.casts import coerce, coerce_or_reject, quoted
 from tidemark.functions.dates import since_date
 from tidemark.operators.lookup import add_reference
 from tidemark.operators.merge import merge
@@ -30,7 +30,7 @@ from tidemark.operators.sizes import estimated_bytes
 from tidemark.plans.spec import Dataset, LoadSpec
 from tidemark.session import require_utc, sized_for
 from tidemark.sources import paged
-from tidemark.sources.landing import land, read_landed
+from tidemark.sources.landing import Drift, drift_of, land_pages, read_landed
 from tidemark.sources.tables import MissingTable, StoredTable
 from tidemark.workspace import Workspace
 
@@ -42,11 +42,13 @@ REJECT_SCHEMA = StructType(
 @dataclass(frozen=True)
 class LoadReport:
     """Of the rows loaded: those with a null in the key, which every load that reads
-    them inserts again, and those left out because they could not be typed.
+    them inserts again, and those left out because they could not be typed. And by dataset,
+    how the keys of its records differ from its columns.
     """
 
     null_key_rows: int
     rejected_rows: int
+    drift: dict[str, Drift] = field(default_factory=dict)
 
 
 class Loader:
@@ -91,24 +93,33 @@ class Loader:
         self, dataset: Dataset, run_date: str | dt.date, days_ago: int | str | None = None
     ) -> str:
         """Land the dataset, or what changed since ``days_ago`` days before ``run_date``."""
-        reader = self.spark.read.format(paged.FORMAT).schema(text_schema(dataset.schema))
-        reader = reader.options(**dataset.reader)
         since = since_date(run_date, days_ago)
-        if since is not None:
-            reader = reader.option("since", since)
-        return land(reader.load(), f"{self.root}/landing", dataset.name, run_date)
+        workspace = Workspace(self.spark)
+        try:
+            if dataset.table is not None:
+                pages = dataset.table.pages(since, workspace)
+            else:
+                reader = self.spark.read.format(paged.FORMAT).options(**dataset.reader)
+                pages = (reader if since is None else reader.option("since", since)).load()
+            return land_pages(pages, f"{self.root}/landing", dataset.name, run_date)
+        finally:
+            workspace.drop()
 
-    def stage(self, dataset: Dataset, run_date: str | dt.date) -> None:
+    def stage(self, dataset: Dataset, run_date: str | dt.date) -> Drift:
         """Replace the staging table by the day's landed records."""
         raw = read_landed(
             self.spark, f"{self.root}/landing", dataset.name, run_date, dataset.schema
         )
-        if self.spec.strict:
-            self.staging(dataset).publish(coerce(raw, dataset.schema))
-            return
-        good, rejected = coerce_or_reject(raw, dataset.schema)
-        self.staging(dataset).publish(good)
-        self.rejects(dataset).publish(rejected)
+        with sized_for(self.spark, estimated_bytes(raw)):
+            drift = drift_of(raw, dataset.schema)
+            if self.spec.strict:
+                drift.check(dataset.name)
+                self.staging(dataset).publish(coerce(raw, dataset.schema))
+                return drift
+            good, rejected = coerce_or_reject(raw, dataset.schema)
+            self.staging(dataset).publish(good)
+            self.rejects(dataset).publish(rejected)
+            return drift
 
     def transform(self) -> DataFrame:
         """Staged rows without copies, with their reference value."""
@@ -129,18 +140,19 @@ class Loader:
         datasets = [self.spec.main, self.spec.reference]
 
         @inheritable_thread_target(self.spark)
-        def extract_and_stage(dataset: Dataset) -> None:
+        def extract_and_stage(dataset: Dataset) -> Drift:
             self.extract(dataset, run_date)
-            self.stage(dataset, run_date)
+            return self.stage(dataset, run_date)
 
         with ThreadPoolExecutor(max_workers=2 if concurrent else 1) as threads:
-            list(threads.map(extract_and_stage, datasets))
+            found = list(threads.map(extract_and_stage, datasets))
+        drift = {dataset.name: own for dataset, own in zip(datasets, found)}
         # Merging into an empty target inserts every row.
         staged = [self.staging(dataset).read() for dataset in datasets]
         with sized_for(self.spark, sum(map(estimated_bytes, staged))):
             self.target.publish(self.transform())
         self._refresh_views()
-        return LoadReport(self._null_keys(self.target.read()), self._rejected(datasets))
+        return LoadReport(self._null_keys(self.target.read()), self._rejected(datasets), drift)
 
     def delta_load(
         self, run_date: str | dt.date, days_ago: int | str | None = 2
@@ -150,10 +162,10 @@ class Loader:
             if not table.exists():
                 raise MissingTable(f"no table at {table.path}; run the full load first")
         self.extract(self.spec.main, run_date, days_ago)
-        self.stage(self.spec.main, run_date)
+        drift = {self.spec.main.name: self.stage(self.spec.main, run_date)}
         null_keys = self.merge_staged()
         self._refresh_views()
-        return LoadReport(null_keys, self._rejected([self.spec.main]))
+        return LoadReport(null_keys, self._rejected([self.spec.main]), drift)
 
     def _refresh_views(self) -> None:
         if self._named:

@@ -7,15 +7,20 @@ from dataclasses import dataclass, field
 from pyspark.sql.types import StructField, StructType
 
 from tidemark.operators.sizes import BROADCAST_LIMIT
+from tidemark.sources.table_pages import TablePages
 
 
 @dataclass(frozen=True)
 class Dataset:
-    """A remote dataset: its landing name, staging schema and reader options."""
+    """A remote dataset: its landing name, staging schema and reader options.
+
+    With ``table`` its pages come from a Spark table instead.
+    """
 
     name: str
     schema: StructType
     reader: dict[str, str] = field(default_factory=dict, repr=False)  # may hold a token
+    table: TablePages | None = field(default=None, repr=False)
 
     @property
     def staging_name(self) -> str:

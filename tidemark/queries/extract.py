@@ -6,20 +6,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.functions.casts import coerce, text_schema
+from tidemark.functions.casts import coerce
 from tidemark.functions.dates import landing_path_column, since_column
 from tidemark.functions.json_text import first_count, flatten_pages
 from tidemark.operators.changes import changed_since
-from tidemark.operators.pages import page_offsets
+from tidemark.operators.pages import ROW_NO, number_rows, one_page, page_offset, page_offsets
 from tidemark.queries.registry import query, table
-from tidemark.sources import paged
 from tidemark.sources.landing import land, read_landed
-from tidemark.sources.snapshot import write_snapshot
+from tidemark.sources.table_pages import TablePages
 from tidemark.workspace import Workspace
 
 SINCE = "2024-01-28"
 STRIDE = 2500
-PAGING = {"page_stride": STRIDE, "pages_per_task": 10}
 
 
 def _updated_at() -> Column:
@@ -31,13 +29,14 @@ def _events_with_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("updated", _updated_at())
 
 
-def _read_pages(
-    spark: SparkSession, location: str, schema: StructType, **options: object
-) -> DataFrame:
-    paged.register(spark)
-    reader = spark.read.format(paged.FORMAT).schema(text_schema(schema))
-    raw = reader.options(client="snapshot", location=location, **options).load()
-    return coerce(raw, schema)
+def _numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return number_rows(table(spark, sf_dir, "events"), "event_id", Workspace(spark))
+
+
+def _from_bodies(source: TablePages, since: str | None, schema: StructType) -> DataFrame:
+    """Pages as they are sent, and what a load reads of them."""
+    pages = source.pages(since, Workspace(source.rows.sparkSession))
+    return coerce(flatten_pages(pages, "body", schema), schema)
 
 
 @query("SELECT count(*) AS row_count FROM events")
@@ -62,28 +61,57 @@ def page_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT * FROM events")
 def page_scan_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    location = Workspace(spark).path("events")
-    write_snapshot(events, location, "event_id")
-    return _read_pages(spark, location, events.schema, **PAGING)
+    return _from_bodies(TablePages(events, "event_id", stride=STRIDE), None, events.schema)
 
 
 @query("SELECT * FROM events")
 def page_scan_strided(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A page limit below the stride: every stride takes several calls, and no row is lost."""
+    """Pages below the stride: every stride takes several calls, and no row is lost."""
     events = table(spark, sf_dir, "events")
-    location = Workspace(spark).path("events")
-    write_snapshot(events, location, "event_id")
-    return _read_pages(spark, location, events.schema, page_limit=700, **PAGING)
+    return _from_bodies(TablePages(events, "event_id", stride=700), None, events.schema)
 
 
 @query(f"SELECT * FROM events WHERE {CHANGED}")
 def page_scan_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events_with_update(spark, sf_dir)
-    location = Workspace(spark).path("events")
-    system = {"created": "ts", "updated": "updated", "hidden": ("updated",)}
-    write_snapshot(events, location, "event_id", since=SINCE, **system)
-    schema = events.drop("updated").schema
-    return _read_pages(spark, location, schema, since=SINCE, **PAGING)
+    source = TablePages(events, "event_id", "ts", "updated", hidden=("updated",), stride=STRIDE)
+    return _from_bodies(source, SINCE, events.drop("updated").schema)
+
+
+@query(f"SELECT * FROM events ORDER BY event_id LIMIT {STRIDE} OFFSET {2 * STRIDE - 7}")
+def page_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page by its offset: a filter on row numbers."""
+    return one_page(_numbered_events(spark, sf_dir), 2 * STRIDE - 7, STRIDE)
+
+
+@query(
+    f"""
+    WITH numbered AS (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS n FROM events)
+    SELECT n - n % {STRIDE} AS page_offset, count(*) AS row_count,
+           min(event_id) AS first_id, max(event_id) AS last_id
+    FROM numbered GROUP BY ALL
+    """
+)
+def page_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys that each page holds."""
+    pages = _numbered_events(spark, sf_dir).groupBy(page_offset(STRIDE).alias("page_offset"))
+    return pages.agg(
+        F.count("*").alias("row_count"),
+        F.min("event_id").alias("first_id"),
+        F.max("event_id").alias("last_id"),
+    )
+
+
+@query(
+    f"""
+    SELECT event_id FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS n FROM events)
+    WHERE n % {STRIDE} < {STRIDE // 10}
+    """
+)
+def page_scan_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A limit below the stride with one call for each page: the rest of a stride is never read."""
+    within = F.col(ROW_NO) - page_offset(STRIDE)
+    return _numbered_events(spark, sf_dir).filter(within < STRIDE // 10).select("event_id")
 
 
 @query(f"SELECT *, ts + to_hours(user_id) AS updated FROM events WHERE {CHANGED}")

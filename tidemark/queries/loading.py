@@ -1,4 +1,4 @@
-"""Whole loads of orders and customers, served from snapshots.
+"""Whole loads of orders and customers, page by page.
 
 Every order is read twice, as when rows move between pages, and has a null in
 its key where the priority is not specified.
@@ -6,6 +6,10 @@ its key where the priority is not specified.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,13 +22,14 @@ from tidemark.queries.merging import (
     orders_with_null_keys,
 )
 from tidemark.queries.registry import query, table
-from tidemark.sources.snapshot import write_snapshot
+from tidemark.sources.table_pages import TablePages
 from tidemark.workspace import Workspace
 
 FULL_RUN = "2001-01-01"
 DELTA_RUN = "2001-08-02"
 DAYS_AGO = 365
 DELTA_SINCE = "2000-08-02"
+TIME_ZONE = "spark.sql.session.timeZone"
 
 
 class _Shop:
@@ -34,11 +39,9 @@ class _Shop:
         workspace = Workspace(spark)
         self.orders = orders_with_null_keys(spark, sf_dir)
         self.customers = table(spark, sf_dir, "customer")
-        self.location = {name: workspace.path(name) for name in ("orders", "customer")}
-        paging = {"client": "snapshot", "page_stride": "25000"}
         spec = LoadSpec(
-            main=self._dataset("orders", self.orders, paging),
-            reference=self._dataset("customer", self.customers, paging),
+            main=self._dataset("orders", self.orders, "o_orderkey", "o_orderdate"),
+            reference=self._dataset("customer", self.customers, "c_custkey"),
             lookup=Lookup("o_custkey", "c_custkey", "c_mktsegment", "segment"),
             target_name="orders",
             target_columns=tuple(self.orders.columns),
@@ -46,19 +49,22 @@ class _Shop:
             keep_target=("o_orderstatus",),
             month_of=month_of,
         )
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        self.loader = Loader(spark, spec, workspace.path("lake"))
-
-    def _dataset(self, name: str, df: DataFrame, paging: dict[str, str]) -> Dataset:
-        return Dataset(name, df.schema, {**paging, "location": self.location[name]})
+        self.spark, self.spec, self.root = spark, spec, workspace.path("lake")
 
-    def serve_orders(self, orders: DataFrame, since: str | None = None) -> None:
-        date = "o_orderdate"
-        twice = orders.unionAll(orders)
-        write_snapshot(twice, self.location["orders"], "o_orderkey", since, date, date)
+    def _dataset(self, name: str, df: DataFrame, row_id: str, date: str | None = None) -> Dataset:
+        return Dataset(name, df.schema, table=TablePages(df, row_id, date, date, stride=25_000))
 
-    def serve_customers(self) -> None:
-        write_snapshot(self.customers, self.location["customer"], "c_custkey")
+    @contextmanager
+    def loader(self, orders: DataFrame) -> Iterator[Loader]:
+        """A loader that is sent ``orders``, each of them twice; meanwhile the session is at UTC."""
+        main = self.spec.main
+        sent = replace(main, table=main.table.serving(orders.unionAll(orders)))
+        zone = self.spark.conf.get(TIME_ZONE)
+        self.spark.conf.set(TIME_ZONE, "UTC")
+        try:
+            yield Loader(self.spark, replace(self.spec, main=sent), self.root)
+        finally:
+            self.spark.conf.set(TIME_ZONE, zone)
 
 
 SEGMENT_SQL = """
@@ -74,10 +80,9 @@ CHANGED_SQL = SEGMENT_SQL.format(status="'X'", price="o_totalprice + 1")
 @query(LOADED_SQL)
 def full_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     shop = _Shop(spark, sf_dir)
-    shop.serve_orders(shop.orders)
-    shop.serve_customers()
-    shop.loader.full_load(FULL_RUN)
-    return flat(shop.loader.target.read())
+    with shop.loader(shop.orders) as loader:
+        loader.full_load(FULL_RUN)
+    return flat(loader.target.read())
 
 
 DELTA_SQL = merge_sql(
@@ -101,10 +106,9 @@ def delta_load_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _loaded_and_changed(shop: _Shop) -> DataFrame:
     before = F.col("o_orderdate") < F.lit(FULL_RUN).cast("timestamp_ntz")
-    shop.serve_orders(shop.orders.filter(before))
-    shop.serve_customers()
-    shop.loader.full_load(FULL_RUN)
+    with shop.loader(shop.orders.filter(before)) as loader:
+        loader.full_load(FULL_RUN)
     changed = shop.orders.withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    shop.serve_orders(changed.withColumn("o_orderstatus", F.lit("X")), DELTA_SINCE)
-    shop.loader.delta_load(DELTA_RUN, DAYS_AGO)
-    return flat(shop.loader.target.read())
+    with shop.loader(changed.withColumn("o_orderstatus", F.lit("X"))) as loader:
+        loader.delta_load(DELTA_RUN, DAYS_AGO)
+    return flat(loader.target.read())

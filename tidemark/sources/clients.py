@@ -1,8 +1,8 @@
-"""Where pages come from: an HTTP service, or a snapshot kept in files.
+"""The remote service: row counts, keys and pages, over HTTP.
 
-A client answers two questions, how many rows there are and what is on one page,
-for the whole dataset or only for rows changed since a date. Both return text:
-typing is left to staging.
+A page is the body of an answer as it was sent, a JSON list of records; what it holds is read in
+Spark. Pages are asked for by key, the next one from the last key of the one before, so that
+rows which come or go meanwhile neither double nor hide others.
 """
 
 from __future__ import annotations
@@ -13,15 +13,11 @@ import time
 import urllib.error
 import urllib.parse
 import urllib.request
-from typing import Protocol
-
-import pyarrow as pa
-import pyarrow.compute as pc
-import pyarrow.fs
-import pyarrow.parquet as pq
+from dataclasses import dataclass
 
 # Fixed values of the remote query protocol.
 COUNT_SELECT = "count(*)"
+SYSTEM_AND_OTHERS = ":*,*"
 ROW_ID = ":id"
 CREATED_AT = ":created_at"
 UPDATED_AT = ":updated_at"
@@ -38,48 +34,50 @@ class PageError(RuntimeError):
     """The remote answered with something other than a list of rows."""
 
 
-class PageClient(Protocol):
-    def count(self, since: str | None) -> int: ...
-
-    def page(self, offset: int, limit: int, since: str | None) -> pa.Table: ...
-
-
-def _as_text(value: object) -> str | None:
-    if value is None or isinstance(value, str):
-        return value
-    return json.dumps(value)
+@dataclass(frozen=True)
+class Page:
+    body: str
+    rows: int
+    last_key: str | None
 
 
 class HttpClient:
     """Pages over HTTP. A call that keeps failing raises, and Spark retries the task."""
 
-    def __init__(self, url: str, columns: list[str], token: str | None = None, timeout: int = 300):
+    def __init__(self, url: str, token: str | None = None, timeout: int = 300):
         if urllib.parse.urlsplit(url).scheme not in ("http", "https"):
             raise ValueError(f"not an http(s) address: {url}")
         self.url = url
-        self.columns = columns
         self.timeout = timeout
         self._headers = {TOKEN_HEADER: token} if token else {}
 
     def count(self, since: str | None) -> int:
-        return int(self._rows({"$select": COUNT_SELECT, **_where(since)})[0]["count"])
-
-    def page(self, offset: int, limit: int, since: str | None) -> pa.Table:
-        paging = {"$order": ROW_ID, "$limit": limit, "$offset": offset}
-        rows = self._rows({**_where(since), **paging})
-        return pa.table(
-            {c: pa.array([_as_text(row.get(c)) for row in rows], pa.string()) for c in self.columns}
-        )
-
-    def _rows(self, query: dict[str, object]) -> list[dict]:
+        return int(self._rows({"$select": COUNT_SELECT, **_where(_changed(since))})[1][0]["count"])
+
+    def key_at(self, offset: int, since: str | None) -> str | None:
+        """The key of the row at ``offset`` in the order of keys; None beyond the last."""
+        paging = {"$select": ROW_ID, "$order": ROW_ID, "$limit": 1, "$offset": offset}
+        rows = self._rows({**paging, **_where(_changed(since))})[1]
+        return rows[0][ROW_ID] if rows else None
+
+    def page(
+        self, since: str | None, limit: int, start: str | None, after: str | None, stop: str | None
+    ) -> Page:
+        """The first ``limit`` rows from the key ``start`` on, or behind ``after``, before ``stop``."""
+        bounds = [(">=", start if after is None else None), (">", after), ("<", stop)]
+        keys = [f"{ROW_ID}{sign}{_literal(key)}" for sign, key in bounds if key is not None]
+        where = _where(_changed(since), *keys)
+        body, rows = self._rows({"$select": SYSTEM_AND_OTHERS, **where, "$order": ROW_ID, "$limit": limit})
+        return Page(body, len(rows), rows[-1][ROW_ID] if rows else None)
+
+    def _rows(self, query: dict[str, object]) -> tuple[str, list[dict]]:
         text = urllib.parse.urlencode(query, safe="$:", quote_via=urllib.parse.quote)
         request = urllib.request.Request(f"{self.url}?{text}", headers=self._headers)
-        # Number text is kept as sent, so no digits are lost before staging.
-        body = json.loads(self._fetch(request), parse_int=str, parse_float=str)
-        if not isinstance(body, list):
-            raise PageError(f"{self.url} answered with {str(body)[:500]}")
-        return body
-
+        body = self._fetch(request).decode()
+        rows = json.loads(body)
+        if not isinstance(rows, list):
+            raise PageError(f"{self.url} answered with {body[:500]}")
+        return body, rows
 
     def _fetch(self, request: urllib.request.Request) -> bytes:
         """The answer; a busy or failing service is asked again after a growing wait."""
@@ -95,78 +93,18 @@ class HttpClient:
         raise AssertionError("unreachable")
 
 
-def _where(since: str | None) -> dict[str, str]:
-    if since is None:
-        return {}
-    dt.date.fromisoformat(since)
-    return {"$where": f"{CREATED_AT}>='{since}' OR {UPDATED_AT}>='{since}'"}
-
+def _literal(key: str) -> str:
+    return "'" + key.replace("'", "''") + "'"
 
-class SnapshotClient:
-    """Pages of a dataset that ``write_snapshot`` put into files in row-id order.
 
-    The index gives the rows per file, so a page opens only the row groups it
-    overlaps. A client serves one task: it keeps the index and the last row group,
-    which the next page often needs again.
-    """
+def _changed(since: str | None) -> str | None:
+    if since is None:
+        return None
+    dt.date.fromisoformat(since)
+    return f"{CREATED_AT}>='{since}' OR {UPDATED_AT}>='{since}'"
 
-    def __init__(self, location: str, columns: list[str]):
-        self.location = location
-        self.columns = columns
-        self.schema = pa.schema([(c, pa.string()) for c in columns])
-        self._index: dict[str | None, list[tuple[str, int]]] = {}
-        self._last: tuple[tuple[str, int], pa.Table] | None = None
 
-    def count(self, since: str | None) -> int:
-        return sum(rows for _, rows in self._files(since))
-
-    def page(self, offset: int, limit: int, since: str | None) -> pa.Table:
-        fs, folder = _resolve(snapshot_folder(self.location, since))
-        parts = []
-        first = 0
-        for name, rows in self._files(since):
-            if first < offset + limit and offset < first + rows:
-                path = f"{folder}/rows/{name}"
-                parts += self._slices(fs, path, offset - first, offset + limit - first)
-            first += rows
-        return pa.concat_tables([self.schema.empty_table(), *parts])
-
-    def _slices(self, fs, path: str, start: int, stop: int) -> list[pa.Table]:
-        """Rows ``start`` to ``stop`` of one file, by its own row numbers."""
-        slices = []
-        with fs.open_input_file(path) as handle:
-            file = pq.ParquetFile(handle)
-            first = 0
-            for group in range(file.num_row_groups):
-                rows = file.metadata.row_group(group).num_rows
-                low, high = max(start - first, 0), min(stop - first, rows)
-                if low < high:
-                    slices.append(self._group(file, path, group).slice(low, high - low))
-                first += rows
-        return slices
-
-    def _group(self, file: pq.ParquetFile, path: str, group: int) -> pa.Table:
-        if self._last is None or self._last[0] != (path, group):
-            table = file.read_row_group(group, columns=self.columns).select(self.columns)
-            self._last = (path, group), table.cast(self.schema)
-        return self._last[1]
-
-    def _files(self, since: str | None) -> list[tuple[str, int]]:
-        if since not in self._index:
-            fs, folder = _resolve(snapshot_folder(self.location, since))
-            if fs.get_file_info(f"{folder}/index/_SUCCESS").type != pyarrow.fs.FileType.File:
-                raise PageError(f"no snapshot at {folder}")
-            index = pq.read_table(f"{folder}/index", filesystem=fs)
-            index = index.take(pc.sort_indices(index, [("file", "ascending")]))
-            self._index[since] = list(zip(index["file"].to_pylist(), index["rows"].to_pylist()))
-        return self._index[since]
-
-
-def snapshot_folder(location: str, since: str | None) -> str:
-    return f"{location.rstrip('/')}/{'full' if since is None else f'since-{since}'}"
-
-
-def _resolve(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    if path.startswith("file:"):
-        path = "/" + path.removeprefix("file:").lstrip("/")
-    return pyarrow.fs.FileSystem.from_uri(path)
+def _where(changed: str | None, *keys: str) -> dict[str, str]:
+    parts = [f"({changed})" if keys and changed else changed, *keys]
+    text = " AND ".join(part for part in parts if part)
+    return {"$where": text} if text else {}

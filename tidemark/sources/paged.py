@@ -1,87 +1,93 @@
-"""Spark data source ``paged``: one input partition per page of a remote dataset.
+"""Spark data source ``paged``: the pages of a remote dataset, as they were sent.
+
+A row is a page: ``body``, its JSON text, and ``after``, the key it follows (null for the first
+of a range). Ranges of keys are planned first, each an input partition; a task reads from the
+start of its range until nothing is left before the next one.
 
 Options
-    client          ``http`` or ``snapshot``
-    location        address of the service, or folder of the snapshot
-    token           access token sent with every call (http)
-    timeout         seconds that one call may take (http, 300)
+    location        address of the service
+    token           access token sent with every call
+    timeout         seconds that one call may take (300)
     since           ISO date; read only rows changed since then
-    page_stride     rows from one page start to the next (100000)
-    page_limit      rows asked for by one call (the stride). Calls go on until the
-                    stride is covered, also where the service returns fewer.
-    pages_per_task  consecutive pages read by one task (1)
+    page_stride     rows from the start of one range to the next, when planned (100000)
+    page_limit      rows asked for by one call (10000, or the stride if that is less)
+    pages_per_task  strides that one range covers (1)
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StructType
 
 import tidemark
-from tidemark.sources.clients import HttpClient, PageClient, PageError, SnapshotClient
+from tidemark.sources.clients import HttpClient
 
 FORMAT = "paged"
+PAGE_SCHEMA = "after string, body string"
 DEFAULT_STRIDE = 100_000
-BATCH_ROWS = 10_000
+DEFAULT_LIMIT = 10_000
+# Calls at the same time while ranges are planned.
+PLANNING_CALLS = 8
 
 
 @dataclass
-class PageRange(InputPartition):
-    """Pages starting at ``first``, ``first + stride``, … below ``stop``."""
+class KeyRange(InputPartition):
+    """Keys from ``start`` on and before ``stop``; None is open."""
 
-    first: int
-    stop: int
+    start: str | None
+    stop: str | None
 
 
-def plan_pages(row_count: int, stride: int, pages_per_task: int = 1) -> list[PageRange]:
-    span = stride * pages_per_task
-    return [PageRange(k, min(k + span, row_count)) for k in range(0, row_count, span)]
+def page_starts(row_count: int, stride: int) -> range:
+    """Row number at which each page starts; no pages where there are no rows."""
+    return range(0, row_count, stride)
 
 
 class PagedReader(DataSourceReader):
-    def __init__(self, options: dict[str, str], schema: StructType):
-        wrong = [field.name for field in schema if not isinstance(field.dataType, StringType)]
-        if wrong:
-            raise ValueError(f"pages are read as text; declare these columns as string: {wrong}")
-        self.columns = schema.names
-        self.kind = options.get("client", "http")
+    def __init__(self, options: dict[str, str]):
         self.location = options["location"]
         self.token = options.get("token")
         self.timeout = int(options.get("timeout", 300))
         self.since = options.get("since") or None
         self.stride = int(options.get("page_stride", DEFAULT_STRIDE))
-        self.limit = int(options.get("page_limit", self.stride))
+        self.limit = int(options.get("page_limit", min(self.stride, DEFAULT_LIMIT)))
         self.pages_per_task = int(options.get("pages_per_task", 1))
         if not 0 < self.limit <= self.stride or self.pages_per_task < 1:
             raise ValueError("need 0 < page_limit <= page_stride and pages_per_task >= 1")
 
-    def _client(self) -> PageClient:
-        if self.kind == "http":
-            return HttpClient(self.location, self.columns, self.token, self.timeout)
-        if self.kind == "snapshot":
-            return SnapshotClient(self.location, self.columns)
-        raise ValueError(f"unknown client {self.kind!r}")
-
-    def partitions(self) -> list[PageRange]:
-        return plan_pages(self._client().count(self.since), self.stride, self.pages_per_task)
+    def _client(self) -> HttpClient:
+        return HttpClient(self.location, self.token, self.timeout)
 
-    def read(self, partition: PageRange | None) -> Iterator[pa.RecordBatch]:
+    def partitions(self) -> list[KeyRange]:
+        client = self._client()
+        starts = page_starts(client.count(self.since), self.stride * self.pages_per_task)
+        with ThreadPoolExecutor(PLANNING_CALLS) as calls:
+            found = list(calls.map(lambda at: client.key_at(at, self.since), starts[1:]))
+        # Rows that went since the count leave starts beyond the end.
+        keys = sorted({key for key in found if key is not None})
+        if not len(starts):
+            return []
+        return [KeyRange(*ends) for ends in zip([None, *keys], [*keys, None])]
+
+    def read(self, partition: KeyRange | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # no pages: Spark still starts one read
             return
-        client = self._client()
-        at = partition.first
-        while at < partition.stop:
-            page = client.page(at, min(self.limit, partition.stop - at), self.since)
-            if not page.num_rows:
-                raise PageError(f"no rows from {at} on, of the {partition.stop} counted")
-            yield from page.to_batches(max_chunksize=BATCH_ROWS)
-            at += page.num_rows
+        client, after = self._client(), None
+        while True:
+            page = client.page(self.since, self.limit, partition.start, after, partition.stop)
+            # A service may return fewer rows than asked for, so only none at all is the end.
+            if not page.rows:
+                return
+            row = [pa.array([after], pa.string()), pa.array([page.body], pa.string())]
+            yield pa.RecordBatch.from_arrays(row, ["after", "body"])
+            after = page.last_key
 
 
 class PagedSource(DataSource):
@@ -89,11 +95,11 @@ class PagedSource(DataSource):
     def name(cls) -> str:
         return FORMAT
 
-    def schema(self) -> StructType:
-        raise ValueError("give the columns with .schema(...): pages carry no schema of their own")
+    def schema(self) -> str:
+        return PAGE_SCHEMA
 
     def reader(self, schema: StructType) -> PagedReader:
-        return PagedReader(dict(self.options), schema)
+        return PagedReader(dict(self.options))
 
 
 def register(spark: SparkSession) -> None:
