@@ -262,21 +262,23 @@ def test_all_that_records_hold_is_landed(spark, tmp_path):
     assert [json.loads(line) for line in lines] == json.loads(body)
     assert "12345678901234567890.123456789012345678" in lines[0]
     schema = StructType().add("num", "string").add("f", "string").add("nested", "string").add("gone", "string")
+    schema = schema.add("big", "string")
     raw = read_landed(spark, str(tmp_path), "rows", "2024-01-02", schema)
+    assert [r["big"] for r in raw.filter("big is not null").collect()] == ["12345678901234567890.123456789012345678"]
     found = {tuple(r)[:4] for r in raw.select(*schema.names).collect()}
     assert ("007", "1.5", None, None) in found and (None, None, None, None) in found
     assert any(r[2] and json.loads(r[2]) == {"a": [1, {"b": 2.0}]} for r in found)
-    drift = drift_of(raw, schema)
-    assert drift.undeclared == ("big", "name", "z") and drift.absent == ("gone",)
+    drift = drift_of(spark, str(tmp_path), "rows", "2024-01-02", schema)
+    assert drift.undeclared == ("name", "z") and drift.absent == ("gone",)
 
 
 def test_lines_that_are_no_records(spark, tmp_path):
     path = tmp_path / "rows/2024/1/2"
     path.mkdir(parents=True)
-    (path / "part").write_text('{"num": "1"}\n\n{"num": \nnot json\n[1]\n{"num": 1, "num": 2}\n')
+    (path / "part").write_text('{"num": "1"}\n\n{"num": \nnot json\n[1]\n')
     raw = read_landed(spark, str(tmp_path), "rows", "2024-01-02", SCHEMA)
     rows = {(r["num"], r[CORRUPT]) for r in raw.collect()}
-    assert rows == {("1", None), (None, '{"num": '), (None, "not json"), (None, "[1]"), (None, '{"num": 1, "num": 2}')}
+    assert rows == {("1", None), (None, '{"num": '), (None, "not json"), (None, "[1]")}
 
 
 def test_an_error_answer_is_no_page(spark):

@@ -15,33 +15,28 @@ def _list_only(text: Column) -> Column:
     return F.when(F.ltrim(text).startswith("["), text).otherwise(F.raise_error(message))
 
 
-def page_records(pages: DataFrame, text: str = "body") -> DataFrame:
-    """``record``: each record of each page, with all its keys, on one line.
+def _variants(pages: DataFrame, text: str) -> DataFrame:
+    """``record``: each record of each page, as a variant.
 
-    Read as variants, which keep up to 38 digits of a number; a body is no larger than these may be.
+    Variants keep up to 38 digits of a number; a body is no larger than they may be.
     """
     records = F.parse_json(_list_only(F.col(text))).cast("array<variant>")
-    return pages.select(F.explode(records).alias("record")).select(F.to_json("record").alias("record"))
-
+    return pages.select(F.explode(records).alias("record"))
 
-def read_records(records: DataFrame, schema: StructType, text: str = "record") -> DataFrame:
-    """The declared columns as text, the text of records that are none, and all ``__keys``.
 
-    Nested values are JSON text; a key that is missing is null. A line that is no object, or has a
-    key twice, is no record; blank lines are left out.
-    """
-    fields = records.withColumn("__fields", F.try_parse_json(text).try_cast("map<string,string>"))
-    known = F.col("__fields").isNotNull()
-    return fields.filter(known | (F.trim(text) != "")).select(
-        *[F.col("__fields")[field.name].alias(field.name) for field in schema],
-        F.when(~known, F.col(text)).alias(CORRUPT),
-        F.map_keys("__fields").alias("__keys"),
-    )
+def page_records(pages: DataFrame, text: str = "body") -> DataFrame:
+    """``record``: the JSON text of each record of each page, with all its keys, on one line."""
+    return _variants(pages, text).select(F.to_json("record").alias("record"))
 
 
 def flatten_pages(pages: DataFrame, text: str, schema: StructType) -> DataFrame:
-    """One output row, all text, per record in each page."""
-    return read_records(page_records(pages, text), schema).drop("__keys")
+    """The declared columns, all text, of each record in each page; what is no object is corrupt."""
+    fields = F.col("record").try_cast("map<string,string>")
+    records = _variants(pages, text).withColumn("fields", fields)
+    return records.select(
+        *[F.col("fields")[field.name].alias(field.name) for field in schema],
+        F.when(F.col("fields").isNull(), F.to_json("record")).alias(CORRUPT),
+    )
 
 
 def first_count(text: Column) -> Column:

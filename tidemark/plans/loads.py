@@ -107,11 +107,10 @@ class Loader:
 
     def stage(self, dataset: Dataset, run_date: str | dt.date) -> Drift:
         """Replace the staging table by the day's landed records."""
-        raw = read_landed(
-            self.spark, f"{self.root}/landing", dataset.name, run_date, dataset.schema
-        )
+        landed = (self.spark, f"{self.root}/landing", dataset.name, run_date, dataset.schema)
+        raw = read_landed(*landed)
         with sized_for(self.spark, estimated_bytes(raw)):
-            drift = drift_of(raw, dataset.schema)
+            drift = drift_of(*landed)
             if self.spec.strict:
                 drift.check(dataset.name)
                 self.staging(dataset).publish(coerce(raw, dataset.schema))

@@ -7,10 +7,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
+from tidemark.functions.casts import CORRUPT, text_schema
 from tidemark.functions.dates import landing_path
-from tidemark.functions.json_text import page_records, read_records
+from tidemark.functions.json_text import page_records
 
 # Microseconds; the JSON writer's own default stops at milliseconds.
 TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -37,14 +38,15 @@ def land_pages(pages: DataFrame, root: str, name: str, run_date: str | dt.date)
 def read_landed(
     spark: SparkSession, root: str, name: str, run_date: str | dt.date, schema: StructType
 ) -> DataFrame:
-    """All records of a source and day, as text, with the names of their keys.
+    """All records of a source and day, as text.
 
     Reading quoted numbers straight into number columns would turn them to null
     without an error, so typing is a separate step. A line that is no JSON object
     shows up in the corrupt-record column.
     """
-    lines = spark.read.text(landing_path(root, name, run_date))
-    return read_records(lines, schema, "value")
+    fields = [*text_schema(schema).fields, StructField(CORRUPT, StringType())]
+    reader = spark.read.schema(StructType(fields)).option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.json(landing_path(root, name, run_date))
 
 
 class DriftError(ValueError):
@@ -66,10 +68,13 @@ class Drift:
             raise DriftError(f"{name}: no record has {self.absent}, but records have {self.undeclared}")
 
 
-def drift_of(landed: DataFrame, schema: StructType) -> Drift:
-    """How the keys of landed records differ from the declared columns."""
-    keys = landed.select(F.explode("__keys").alias("key")).distinct()
-    found = {row["key"] for row in keys.collect()}  # as many as a record has kinds of keys
+def drift_of(
+    spark: SparkSession, root: str, name: str, run_date: str | dt.date, schema: StructType
+) -> Drift:
+    """How the keys of a day's landed records differ from the declared columns."""
+    lines = spark.read.text(landing_path(root, name, run_date))
+    keys = lines.select(F.explode(F.json_object_keys("value")).alias("key")).distinct()
+    found = {row["key"] for row in keys.collect()}  # as many as there are different keys
     if not found:
         return Drift()
     unknown = {key for key in found - set(schema.names) if not key.startswith(SYSTEM_PREFIX)}
