@@ -182,6 +182,49 @@ def test_failed_cast_leaves_the_target(site):
     assert [r[0] for r in site.rows()] == [1]
 
 
+def test_missed_runs_lose_nothing(site):
+    site.serve([eviction("1")])
+    site.loader.full_load("2022-04-05")
+    assert site.loader.target.mark() == "2022-04-05"
+    # Changes of a week without a run, all before the look-back of the next one.
+    rows = [eviction("1", created="2022-04-06", eviction_possession="x"), eviction("2", created="2022-04-08")]
+    rows.append(eviction("3", day="2022-03-01", created="2022-04-05"))
+    site.serve(rows, areas=None)
+    site.loader.delta_load("2022-04-15")
+    after_delta = site.rows("docket_number", "nta")
+    assert [r[0] for r in after_delta] == [1, 2, 3] and site.loader.target.mark() == "2022-04-15"
+    # A run without changes, and one for an earlier day, keep the mark and the rows.
+    site.serve([], areas=None)
+    site.loader.delta_load("2022-04-16")
+    site.loader.delta_load("2022-04-10")
+    assert site.loader.target.mark() == "2022-04-16"
+    assert site.rows("docket_number", "nta") == after_delta
+    site.serve(rows)
+    site.loader.full_load("2022-04-17")
+    assert site.rows("docket_number", "nta") == after_delta
+
+
+def test_created_tables_have_no_mark(site):
+    site.serve([eviction("1")])
+    site.loader.full_load("2022-04-05")
+    site.loader.create_tables()
+    assert site.loader.target.mark() is None
+    site.loader.delta_load("2022-04-05")
+    assert site.loader.target.mark() is None
+    site.loader.delta_load("2022-04-05", days_ago=0)
+    assert site.loader.target.mark() == "2022-04-05"
+
+
+def test_records_without_a_mark_are_read(spark, tmp_path):
+    table = StoredTable(spark, str(tmp_path / "t"), StructType().add("n", "long"))
+    table.publish(spark.range(3).select(F.col("id").alias("n")))
+    record = tmp_path / "t/_records/00000001.json"
+    record.unlink()
+    (tmp_path / "t/_records/.00000001.json.crc").unlink(missing_ok=True)
+    record.write_text('{"": "v00000001"}')
+    assert table.read().count() == 3 and table.mark() is None
+
+
 def test_all_that_is_sent_is_landed(spark, site):
     site.serve([every_column("1", fee="7.50", note="x"), eviction("2", bin="3")], extra=("fee", "note"))
     report = site.loader.full_load("2022-04-05")

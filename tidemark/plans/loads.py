@@ -7,8 +7,8 @@
 
 The full load builds the target anew and publishes it last, so that a failure
 on the way leaves the old one in place. The incremental load re-reads only the
-main dataset, from ``days_ago`` days back; a change older than that which no run
-has seen waits for the next full load.
+main dataset, from ``days_ago`` days back, or from the day of the last load that the
+target's record names if that is earlier, so that missed runs lose nothing.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions.casts import coerce, coerce_or_reject, quoted
-from tidemark.functions.dates import since_date
+from tidemark.functions.dates import as_date, since_date
 from tidemark.operators.lookup import add_reference
 from tidemark.operators.merge import merge
 from tidemark.operators.sizes import estimated_bytes
@@ -51,6 +51,10 @@ class LoadReport:
     drift: dict[str, Drift] = field(default_factory=dict)
 
 
+def _day(run_date: str | dt.date) -> str:
+    return as_date(run_date).isoformat()
+
+
 class Loader:
     """Loads of one ``LoadSpec``, with landing and tables under ``root``."""
 
@@ -90,10 +94,18 @@ class Loader:
         self.target.read().createOrReplaceTempView(self.spec.target_name)
 
     def extract(
-        self, dataset: Dataset, run_date: str | dt.date, days_ago: int | str | None = None
+        self,
+        dataset: Dataset,
+        run_date: str | dt.date,
+        days_ago: int | str | None = None,
+        mark: str | None = None,
     ) -> str:
-        """Land the dataset, or what changed since ``days_ago`` days before ``run_date``."""
+        """Land the dataset, or what changed since ``days_ago`` days before ``run_date`` or, if
+        that is earlier, since the day ``mark``.
+        """
         since = since_date(run_date, days_ago)
+        if since is not None and mark is not None:
+            since = min(since, mark)
         workspace = Workspace(self.spark)
         try:
             if dataset.table is not None:
@@ -149,7 +161,7 @@ class Loader:
         # Merging into an empty target inserts every row.
         staged = [self.staging(dataset).read() for dataset in datasets]
         with sized_for(self.spark, sum(map(estimated_bytes, staged))):
-            self.target.publish(self.transform())
+            self.target.publish(self.transform(), mark=_day(run_date))
         self._refresh_views()
         return LoadReport(self._null_keys(self.target.read()), self._rejected(datasets), drift)
 
@@ -160,9 +172,13 @@ class Loader:
         for table in (self.staging(self.spec.reference), self.target):
             if not table.exists():
                 raise MissingTable(f"no table at {table.path}; run the full load first")
-        self.extract(self.spec.main, run_date, days_ago)
+        last = self.target.mark()
+        self.extract(self.spec.main, run_date, days_ago, last)
         drift = {self.spec.main.name: self.stage(self.spec.main, run_date)}
-        null_keys = self.merge_staged()
+        # A run for an earlier day than the last does not take the mark back; one after
+        # tables were created leaves none, as it has not read what came before its look-back.
+        complete = since_date(run_date, days_ago) is None or last is not None
+        null_keys = self.merge_staged(max(_day(run_date), last or "") if complete else None)
         self._refresh_views()
         return LoadReport(null_keys, self._rejected([self.spec.main]), drift)
 
@@ -170,37 +186,39 @@ class Loader:
         if self._named:
             self.create_views()
 
-    def merge_staged(self) -> int:
-        """Transform what is staged and merge it; returns its number of null-key rows."""
+    def merge_staged(self, mark: str | None = None) -> int:
+        """Transform what is staged and merge it; returns its number of null-key rows.
+
+        ``mark`` is the day up to which the target is complete then.
+        """
         workspace = Workspace(self.spark)
         staged = self.staging(self.spec.main).read()
         try:
             with sized_for(self.spark, estimated_bytes(staged)):
                 columns = [quoted(c) for c in self.spec.target_columns]
                 source = workspace.store(self.transform().select(*columns), "enriched")
-            if self.spec.month_of is None:
-                self._merge_whole(source, workspace)
+            if source.isEmpty():
+                if mark is not None and mark != self.target.mark():
+                    self.target.set_mark(mark)
+            elif self.spec.month_of is None:
+                self._merge_whole(source, workspace, mark)
             else:
-                self._merge_months(source, workspace)
+                self._merge_months(source, workspace, mark)
             return self._null_keys(source)
         finally:
             workspace.drop()
 
-    def _merge_whole(self, source: DataFrame, workspace: Workspace) -> None:
-        if source.isEmpty():
-            return
+    def _merge_whole(self, source: DataFrame, workspace: Workspace, mark: str | None) -> None:
         known = self.target.read()
         with sized_for(self.spark, estimated_bytes(known) + estimated_bytes(source)):
-            self.target.publish(self._merged(known, source, workspace))
+            self.target.publish(self._merged(known, source, workspace), mark=mark)
 
-    def _merge_months(self, source: DataFrame, workspace: Workspace) -> None:
+    def _merge_months(self, source: DataFrame, workspace: Workspace, mark: str | None) -> None:
         # The month column is a key, so a match is always in the row's own month.
         months = self.target.months_in(source)
-        if not months:
-            return
         known = self.target.read(months)
         with sized_for(self.spark, estimated_bytes(known) + estimated_bytes(source)):
-            self.target.replace_months(self._merged(known, source, workspace))
+            self.target.replace_months(self._merged(known, source, workspace), mark=mark)
 
     def _merged(self, target: DataFrame, source: DataFrame, workspace: Workspace) -> DataFrame:
         return merge(

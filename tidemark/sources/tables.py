@@ -15,6 +15,9 @@ from tidemark.session import require_utc
 MONTH = "load_month"
 NO_MONTH = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder of rows without a month
 WHOLE = ""
+# Entries of a commit record.
+FOLDERS = "folders"
+MARK = "mark"
 
 
 class MissingTable(LookupError):
@@ -62,12 +65,22 @@ class StoredTable:
         paths = [f"{self.path}/{folder}" for folder in folders.values()]
         return self.spark.read.schema(self.schema).parquet(*paths)
 
-    def publish(self, df: DataFrame, keep: int = 2) -> int:
+    def publish(self, df: DataFrame, keep: int = 2, mark: str | None = None) -> int:
         """Make ``df`` the content, bound by column name; creates the table if needed.
 
         The ``keep`` newest versions stay, for readers that have started on one of them.
+        ``mark`` goes into the record: the day up to which the content is complete.
         """
-        return self._commit(df, {}, keep)
+        return self._commit(df, {}, keep, mark)
+
+    def mark(self) -> str | None:
+        """The mark of the newest record."""
+        versions = self.versions()
+        return self._content(versions[-1])[MARK] if versions else None
+
+    def set_mark(self, mark: str, keep: int = 2) -> int:
+        """A new version of the same content with another mark."""
+        return self._put_record(self._next(), self._current(), keep, mark)
 
     def create_empty(self) -> int:
         return self.publish(self.spark.createDataFrame([], self.schema))
@@ -76,12 +89,15 @@ class StoredTable:
         """Months present in ``df``: bounded by the calendar, however large the data."""
         return [row[0] for row in df.select(self._month().alias(MONTH)).distinct().collect()]
 
-    def replace_months(self, df: DataFrame, keep: int = 2) -> int:
+    def replace_months(self, df: DataFrame, keep: int = 2, mark: str | None = None) -> int:
         """A new version in which every month that occurs in ``df`` is that of ``df``."""
-        return self._commit(df, self._current(), keep)
+        return self._commit(df, self._current(), keep, mark)
 
-    def _commit(self, df: DataFrame, others: dict[str, str], keep: int) -> int:
-        version = max(self._numbers() + self.versions(), default=0) + 1
+    def _next(self) -> int:
+        return max(self._numbers() + self.versions(), default=0) + 1
+
+    def _commit(self, df: DataFrame, others: dict[str, str], keep: int, mark: str | None) -> int:
+        version = self._next()
         folder = f"v{version:08d}"
         self._write(df, f"{self.path}/{folder}")
         written = {WHOLE: folder}
@@ -89,7 +105,10 @@ class StoredTable:
             names = storage.child_names(self.spark, f"{self.path}/{folder}")
             months = [name for name in names if name.startswith(f"{MONTH}=")]
             written = {name[len(MONTH) + 1 :]: f"{folder}/{name}" for name in months}
-        record = json.dumps({**others, **written}, sort_keys=True)
+        return self._put_record(version, {**others, **written}, keep, mark)
+
+    def _put_record(self, version: int, folders: dict[str, str], keep: int, mark: str | None) -> int:
+        record = json.dumps({FOLDERS: folders, MARK: mark}, sort_keys=True)
         storage.put_text(self.spark, self._record(version), record)
         self._clean(keep)
         return version
@@ -122,7 +141,12 @@ class StoredTable:
 
     def _folders(self, version: int) -> dict[str, str]:
         """Folders by month; a table without months has one. Bounded by the calendar."""
-        return json.loads(storage.read_text(self.spark, self._record(version)))
+        return self._content(version)[FOLDERS]
+
+    def _content(self, version: int) -> dict:
+        record = json.loads(storage.read_text(self.spark, self._record(version)))
+        # Records once held the folders alone.
+        return record if FOLDERS in record else {FOLDERS: record, MARK: None}
 
     def _current(self) -> dict[str, str]:
         versions = self.versions()
