@@ -46,7 +46,7 @@ TAKEN = 4
 # About SAMPLE members tell which these are; any order gives the same links.
 LARGE = 32
 COMMON = 4
-SAMPLE = 64
+SAMPLE = 24
 
 
 @dataclass(frozen=True)
