@@ -7,16 +7,18 @@ from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark import storage
 from tidemark.operators.merge import MultipleMatchError
 from tidemark.plans.evictions import MAIN_SCHEMA, REFERENCE_SCHEMA, evictions_spec
 from tidemark.plans.loads import Loader
+from tidemark.plans.merges import merge_stored
 from tidemark.plans.spec import LoadSpec
+from tidemark.sources import tables
 from tidemark.sources.landing import DriftError
 from tidemark.sources.table_pages import TablePages
-from tidemark.sources.tables import MissingTable, StoredTable
+from tidemark.sources.tables import NO_MONTH, MissingTable, StoredTable
 from tidemark.workspace import shared_root
 
 NAME = "geographic_area_neighborhood_tabulation_area_nta_name"
@@ -173,6 +175,40 @@ def test_names_follow_the_loads(spark, site):
     assert spark.sql("select count(*) from stg_evictions").first()[0] == 1
 
 
+def test_names_last_beyond_a_loader_and_a_session(spark, tmp_path):
+    folder = tmp_path / "a, 'b'"
+    site = Site(spark, folder, month_of="executed_date")
+    site.loader.create_tables()
+    site.loader.create_views()
+    other = spark.newSession()
+    assert other.table("evictions").collect() == []
+    assert other.table("evictions").schema.names == list(site.loader.spec.target_columns)
+    for n, day in ((2, "2022-04-05"), (3, "2022-04-06")):
+        # Each load is that of a loader of its own.
+        site = Site(spark, folder, month_of="executed_date")
+        site.serve([eviction(str(k), day=f"2022-0{k + 1}-01") for k in range(n)])
+        site.loader.full_load(day)
+        assert other.table("evictions").count() == n
+    site = Site(spark, folder, month_of="executed_date")
+    site.serve([eviction("9", day="2022-01-01", created="2022-04-06")], areas=None)
+    site.loader.delta_load("2022-04-07")
+    assert sorted(r[0] for r in other.sql("select docket_number from evictions").collect()) == [0, 1, 2, 9]
+    assert other.table("evictions").schema["nta"].dataType.simpleString() == "struct<nta:string,population:bigint>"
+
+
+def test_names_of_another_lake_are_left(spark, tmp_path):
+    first, second = Site(spark, tmp_path / "first"), Site(spark, tmp_path / "second")
+    first.serve([eviction("1")])
+    first.loader.full_load("2022-04-05")
+    first.loader.create_views()
+    second.serve([eviction("1"), eviction("2")])
+    second.loader.full_load("2022-04-05")
+    assert spark.table("evictions").count() == 1
+    second.loader.create_views()
+    first.loader.full_load("2022-04-05")
+    assert spark.table("evictions").count() == 2
+
+
 def test_failed_cast_leaves_the_target(site):
     site.serve([eviction("1")])
     site.loader.full_load("2022-04-05")
@@ -314,6 +350,7 @@ def test_session_zone_is_checked(spark, tmp_path):
 
 
 ONE = StructType().add("day", "timestamp_ntz").add("n", "long")
+WIDE = StructType([*ONE, StructField("v", StringType())])
 
 
 def days(spark, *rows):
@@ -321,6 +358,11 @@ def days(spark, *rows):
     return df.select(df["day"].cast("timestamp_ntz").alias("day"), "n")
 
 
+def wide(spark, *rows):
+    df = spark.createDataFrame(rows, "day string, n long, v string")
+    return df.select(df["day"].cast("timestamp_ntz").alias("day"), "n", "v")
+
+
 def test_publish_versions(spark, tmp_path):
     table = StoredTable(spark, str(tmp_path / "t"), ONE)
     assert not table.exists()
@@ -394,6 +436,90 @@ def test_replaced_months_and_dead_writes_are_cleaned(spark, tmp_path):
     assert sorted(r["n"] for r in table.read().collect()) == [1, 22]
 
 
+def folders(table):
+    return sorted(folder[len(table.path) + 1 :] for folder in table.folders())
+
+
+@pytest.mark.parametrize("month_of", [None, "day"])
+def test_appended_rows_are_all_that_is_written(spark, tmp_path, month_of):
+    table = StoredTable(spark, str(tmp_path / "t"), ONE, month_of)
+    table.publish(days(spark, ("2024-01-01", 1), (None, 2)))
+    before = folders(table)
+    assert table.append(days(spark, ("2024-01-05", 3), ("2024-03-05", 4))) == 2
+    assert sorted(r["n"] for r in table.read().collect()) == [1, 2, 3, 4]
+    new = ["v00000002/load_month=2024-01", "v00000002/load_month=2024-03"] if month_of else ["v00000002"]
+    assert folders(table) == sorted(before + new)
+    if month_of:
+        assert sorted(r["n"] for r in table.read(["2024-01"]).collect()) == [1, 3]
+        table.replace_months(days(spark, ("2024-01-02", 5)), days(spark, ("2024-01-03", 6), (None, 7)))
+        assert sorted(r["n"] for r in table.read().collect()) == [2, 4, 5, 6, 7]
+        assert [f for f in before if f.endswith(NO_MONTH)][0] in folders(table)
+    else:
+        table.publish(days(spark, ("2024-01-02", 5)))
+        assert [r["n"] for r in table.read().collect()] == [5]
+
+
+@pytest.mark.parametrize("month_of", [None, "day"])
+def test_many_segments_become_one(spark, tmp_path, monkeypatch, month_of):
+    monkeypatch.setattr(tables, "SEGMENTS", 2)
+    table = StoredTable(spark, str(tmp_path / "t"), ONE, month_of)
+    table.publish(days(spark, ("2024-01-01", 0), ("2024-02-01", -1)))
+    held = []
+    for n in range(1, 6):
+        table.append(days(spark, ("2024-01-05", n)))
+        assert sorted(r["n"] for r in table.read().collect()) == list(range(-1, n + 1))
+        held.append(len(table.read(["2024-01"]).inputFiles() if month_of else table.folders()))
+    assert held == [2, 1, 2, 1, 2]
+    if month_of:
+        assert "v00000001/load_month=2024-02" in folders(table)
+    left = {p.parent.name + "/" + p.name if month_of else p.name for p in (tmp_path / "t").glob("v*/load_month=*" if month_of else "v*")}
+    assert set(folders(table)) <= left and len(left) <= 5
+
+
+def test_records_with_one_folder_a_month_are_read(spark, tmp_path):
+    table = StoredTable(spark, str(tmp_path / "t"), ONE, month_of="day")
+    table.publish(days(spark, ("2024-01-01", 1)))
+    record = tmp_path / "t/_records/00000001.json"
+    record.write_text('{"folders": {"2024-01": "v00000001/load_month=2024-01"}, "mark": "2024-01-02"}')
+    (tmp_path / "t/_records/.00000001.json.crc").unlink(missing_ok=True)
+    table.append(days(spark, ("2024-01-02", 2)), mark=table.mark())
+    assert sorted(r["n"] for r in table.read().collect()) == [1, 2] and table.mark() == "2024-01-02"
+
+
+def test_a_merge_writes_months_with_a_match_and_what_is_new(spark, tmp_path, workspace):
+    table = StoredTable(spark, str(tmp_path / "t"), WIDE, month_of="day")
+    rows = [("2024-01-01", 1, "a"), ("2024-02-01", 2, "b"), ("2024-02-02", 3, "c"), (None, 4, "d")]
+    table.publish(wide(spark, *rows))
+    batch = [("2024-01-03", 9, "new"), ("2024-02-01", 2, "changed"), (None, 4, "again"), ("2024-05-01", 5, "e")]
+    merge_stored(table, workspace.store(wide(spark, *batch), "batch"), ["day", "n"], workspace=workspace)
+    kept = [("2024-01-01", 1, "a"), ("2024-02-02", 3, "c"), (None, 4, "d")]
+    found = [(r["day"] and str(r["day"].date()), r["n"], r["v"]) for r in table.read().collect()]
+    assert sorted(found, key=repr) == sorted(kept + batch, key=repr)
+    assert folders(table) == [
+        "v00000001/load_month=2024-01", f"v00000001/load_month={NO_MONTH}", "v00000002/load_month=2024-02",
+        "v00000003/load_month=2024-01", "v00000003/load_month=2024-05", f"v00000003/load_month={NO_MONTH}",
+    ]
+
+
+@pytest.mark.parametrize("month_of", [None, "day"])
+def test_a_merge_without_a_match_writes_its_own_rows(spark, tmp_path, workspace, month_of):
+    table = StoredTable(spark, str(tmp_path / "t"), WIDE, month_of)
+    table.publish(wide(spark, ("2024-01-01", 1, "a"), (None, 2, "b")))
+    before = folders(table)
+    batch = workspace.store(wide(spark, ("2024-01-01", 7, "c"), (None, 2, "d")), "batch")
+    merge_stored(table, batch, ["day", "n"], workspace=workspace)
+    assert sorted(r["v"] for r in table.read().collect()) == ["a", "b", "c", "d"]
+    assert set(before) < set(folders(table))
+
+
+def test_null_safe_keys_match_in_the_folder_without_a_month(spark, tmp_path, workspace):
+    table = StoredTable(spark, str(tmp_path / "t"), WIDE, "day")
+    table.publish(wide(spark, ("2024-01-01", 1, "a"), (None, 2, "b")))
+    batch = workspace.store(wide(spark, (None, 2, "d")), "batch")
+    merge_stored(table, batch, ["day", "n"], workspace=workspace, null_safe_keys=True)
+    assert sorted(r["v"] for r in table.read().collect()) == ["a", "d"]
+
+
 def test_hot_month_is_written_by_several_tasks(spark, tmp_path):
     rows = spark.range(0, 60_000, 1, 16).select(
         F.expr("timestamp_ntz '2024-01-01' + make_dt_interval(if(id % 3 = 0, 0, id % 300))").alias(

@@ -10,6 +10,7 @@ which lets adaptive execution split it, and a unique side opposite.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -61,13 +62,13 @@ def shared_keys(
         # Only target keys that the batch mentions need to be shuffled.
         batch = F.broadcast(_prefixed(theirs, keys, "__"))
         ours = ours.join(batch, _same_key(keys, "__", null_safe_keys), "left_semi")
-    both = ours.select("*", F.lit(0).alias("n"), F.lit(True).alias("hit")).unionAll(
-        theirs.select("*", F.lit(1).alias("n"), F.lit(False).alias("hit"))
+    both = ours.select("*", F.lit(0).alias("__n"), F.lit(True).alias("__hit")).unionAll(
+        theirs.select("*", F.lit(1).alias("__n"), F.lit(False).alias("__hit"))
     )
     counts = both.groupBy(*[quoted(k) for k in keys]).agg(
-        F.sum("n").alias("source_rows"), F.max("hit").alias("hit")
+        F.sum("__n").alias("source_rows"), F.max("__hit").alias("__hit")
     )
-    return counts.filter((F.col("source_rows") > 0) & F.col("hit")).drop("hit")
+    return counts.filter((F.col("source_rows") > 0) & F.col("__hit")).drop("__hit")
 
 
 def multi_match_keys(
@@ -77,32 +78,34 @@ def multi_match_keys(
     return shared_keys(target, source, keys, **options).filter(F.col("source_rows") > 1)
 
 
-def merge(
+@dataclass(frozen=True)
+class SortedBatch:
+    """A source as seen from a target: what it updates there, and what comes in addition.
+
+    ``matched`` holds the keys of both, ``small`` tells that the updates are to be broadcast.
+    """
+
+    matched: DataFrame
+    updates: DataFrame | None
+    inserts: DataFrame
+    small: bool = False
+
+
+def sort_batch(
     target: DataFrame,
     source: DataFrame,
     keys: list[str],
     *,
     workspace: Workspace,
-    keep_target: tuple[str, ...] = (),
     null_safe_keys: bool = False,
     source_is_stored: bool = False,
     broadcast_limit: int = BROADCAST_LIMIT,
     worth_sparing: int | None = None,
-) -> DataFrame:
-    """The target after the merge, columns as in ``target``, bound by name.
+) -> SortedBatch:
+    """``source``, in the columns of ``target``, as updates and inserts.
 
-    Matched rows take every source value, nulls included, but for the columns in
-    ``keep_target``. Source rows without a match are inserted; target rows
-    without one stay. A null in a key matches nothing, so such a source row is
-    inserted on every run, unless ``null_safe_keys``.
-
-    A side within ``broadcast_limit`` is broadcast to spare another of ``worth_sparing``
-    bytes or more its shuffle.
-
-    ``target`` should be a scan: it is read more than once. The result reads
-    intermediate tables, so drop the workspace only after using it.
+    Of the target only the keys are read. Without a match there are no ``updates``.
     """
-    columns = target.columns
     source = source.select(
         *[quoted(f.name).cast(f.dataType).alias(f.name) for f in target.schema]
     )
@@ -117,7 +120,7 @@ def merge(
     )
     hits, most = matched.agg(F.count("*"), F.max("source_rows")).first()
     if not hits:
-        return target.unionAll(source)
+        return SortedBatch(matched, None, source)
     if most > 1:
         some = matched.filter(F.col("source_rows") > 1).limit(5).collect()
         named = "; ".join(str(row.asDict()) for row in some)
@@ -136,15 +139,30 @@ def merge(
     if not small:
         updates = workspace.store(updates, "updates")
         small = fits_broadcast(updates, target, broadcast_limit, worth_sparing)
-    new = _prefixed(updates, columns, "__new_").withColumn("__hit", F.lit(True))
-    new = broadcast_if(new, small)
+    return SortedBatch(matched, updates, inserts, small)
+
+
+def updated(
+    target: DataFrame,
+    batch: SortedBatch,
+    keys: list[str],
+    *,
+    keep_target: tuple[str, ...] = (),
+    null_safe_keys: bool = False,
+) -> DataFrame:
+    """All rows of ``target``, or of a part that holds all matches, with the batch's updates."""
+    if batch.updates is None:
+        return target
+    columns = target.columns
+    new = _prefixed(batch.updates, columns, "__new_").withColumn("__hit", F.lit(True))
+    new = broadcast_if(new, batch.small)
     untouched = None
-    if not small and not null_safe_keys:
+    if not batch.small and not null_safe_keys:
         # Null-key rows match nothing; shuffled, they would all meet in one partition.
         untouched = target.filter(_any_null(keys))
         target = target.filter(~_any_null(keys))
     is_hit = F.col("__hit").isNotNull()
-    updated = target.join(new, _same_key(keys, "__new_", null_safe_keys), "left").select(
+    result = target.join(new, _same_key(keys, "__new_", null_safe_keys), "left").select(
         *[
             quoted(c)
             if c in keep_target
@@ -152,5 +170,31 @@ def merge(
             for c in columns
         ]
     )
-    result = updated.unionAll(inserts)
     return result if untouched is None else result.unionAll(untouched)
+
+
+def merge(
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    *,
+    keep_target: tuple[str, ...] = (),
+    null_safe_keys: bool = False,
+    **options: object,
+) -> DataFrame:
+    """The target after the merge, columns as in ``target``, bound by name.
+
+    Matched rows take every source value, nulls included, but for the columns in
+    ``keep_target``. Source rows without a match are inserted; target rows
+    without one stay. A null in a key matches nothing, so such a source row is
+    inserted on every run, unless ``null_safe_keys``.
+
+    A side within ``broadcast_limit`` is broadcast to spare another of ``worth_sparing``
+    bytes or more its shuffle. These and the other ``options`` are those of ``sort_batch``.
+
+    ``target`` should be a scan: it is read more than once. The result reads
+    intermediate tables, so drop the workspace only after using it.
+    """
+    batch = sort_batch(target, source, keys, null_safe_keys=null_safe_keys, **options)
+    after = updated(target, batch, keys, keep_target=keep_target, null_safe_keys=null_safe_keys)
+    return after.unionAll(batch.inserts)

@@ -25,12 +25,13 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tidemark.functions.casts import coerce, coerce_or_reject, quoted
 from tidemark.functions.dates import as_date, since_date
 from tidemark.operators.lookup import add_reference
-from tidemark.operators.merge import merge
 from tidemark.operators.sizes import estimated_bytes
+from tidemark.plans.merges import merge_stored
 from tidemark.plans.spec import Dataset, LoadSpec
 from tidemark.session import require_utc, sized_for
 from tidemark.sources import paged
 from tidemark.sources.landing import Drift, drift_of, land_pages, read_landed
+from tidemark.sources.names import name_table, rename_table
 from tidemark.sources.tables import MissingTable, StoredTable
 from tidemark.workspace import Workspace
 
@@ -67,7 +68,6 @@ class Loader:
         self.target = StoredTable(
             spark, f"{self.root}/tables/{spec.target_name}", spec.target_schema, spec.month_of
         )
-        self._named = False
 
     def staging(self, dataset: Dataset) -> StoredTable:
         path = f"{self.root}/staging/{dataset.staging_name}"
@@ -82,16 +82,21 @@ class Loader:
         for dataset in (self.spec.main, self.spec.reference):
             self.staging(dataset).create_empty()
         self.target.create_empty()
+        self._refresh_views()
 
     def create_views(self) -> None:
-        """Name the staging and target tables for use in Spark SQL.
+        """Name the staging and target tables in the session's catalog, for use in Spark SQL.
 
-        From then on each load of this loader turns the names to what it has published.
+        From then on each load turns the names to what it has published, whichever loader or
+        session of the catalog runs it.
         """
-        self._named = True
-        for dataset in (self.spec.main, self.spec.reference):
-            self.staging(dataset).read().createOrReplaceTempView(dataset.staging_name)
-        self.target.read().createOrReplaceTempView(self.spec.target_name)
+        for name, stored in self._names():
+            name_table(stored, name)
+
+    def _names(self) -> list[tuple[str, StoredTable]]:
+        datasets = (self.spec.main, self.spec.reference)
+        staged = [(dataset.staging_name, self.staging(dataset)) for dataset in datasets]
+        return [*staged, (self.spec.target_name, self.target)]
 
     def extract(
         self,
@@ -183,8 +188,8 @@ class Loader:
         return LoadReport(null_keys, self._rejected([self.spec.main]), drift)
 
     def _refresh_views(self) -> None:
-        if self._named:
-            self.create_views()
+        for name, stored in self._names():
+            rename_table(stored, name)
 
     def merge_staged(self, mark: str | None = None) -> int:
         """Transform what is staged and merge it; returns its number of null-key rows.
@@ -200,39 +205,22 @@ class Loader:
             if source.isEmpty():
                 if mark is not None and mark != self.target.mark():
                     self.target.set_mark(mark)
-            elif self.spec.month_of is None:
-                self._merge_whole(source, workspace, mark)
             else:
-                self._merge_months(source, workspace, mark)
+                merge_stored(
+                    self.target,
+                    source,
+                    list(self.spec.keys),
+                    workspace=workspace,
+                    keep_target=self.spec.keep_target,
+                    null_safe_keys=self.spec.null_safe_keys,
+                    mark=mark,
+                    broadcast_limit=self.spec.broadcast_limit,
+                    worth_sparing=self.spec.worth_sparing,
+                )
             return self._null_keys(source)
         finally:
             workspace.drop()
 
-    def _merge_whole(self, source: DataFrame, workspace: Workspace, mark: str | None) -> None:
-        known = self.target.read()
-        with sized_for(self.spark, estimated_bytes(known) + estimated_bytes(source)):
-            self.target.publish(self._merged(known, source, workspace), mark=mark)
-
-    def _merge_months(self, source: DataFrame, workspace: Workspace, mark: str | None) -> None:
-        # The month column is a key, so a match is always in the row's own month.
-        months = self.target.months_in(source)
-        known = self.target.read(months)
-        with sized_for(self.spark, estimated_bytes(known) + estimated_bytes(source)):
-            self.target.replace_months(self._merged(known, source, workspace), mark=mark)
-
-    def _merged(self, target: DataFrame, source: DataFrame, workspace: Workspace) -> DataFrame:
-        return merge(
-            target,
-            source,
-            list(self.spec.keys),
-            workspace=workspace,
-            keep_target=self.spec.keep_target,
-            null_safe_keys=self.spec.null_safe_keys,
-            source_is_stored=True,
-            broadcast_limit=self.spec.broadcast_limit,
-            worth_sparing=self.spec.worth_sparing,
-        )
-
     def _null_keys(self, df: DataFrame) -> int:
         any_null = reduce(Column.__or__, [quoted(k).isNull() for k in self.spec.keys])
         return df.filter(any_null).count()

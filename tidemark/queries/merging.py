@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.changes import changed_since
 from tidemark.operators.lookup import add_reference
 from tidemark.operators.merge import merge, multi_match_keys
+from tidemark.plans.merges import merge_stored
 from tidemark.queries.registry import query, table
 from tidemark.sources.tables import StoredTable
 from tidemark.workspace import Workspace
@@ -197,13 +198,11 @@ def merge_multi_match_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(merge_sql(TARGET_SQL, BATCH_SQL))
 def merge_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only the months that the batch touches are read and rewritten."""
+    """Only months with a match are written anew; what has none is appended."""
     workspace = Workspace(spark)
     target = _target(spark, sf_dir)
     stored = StoredTable(spark, workspace.path("orders"), target.schema, "o_orderdate")
     stored.publish(target)
     batch = workspace.store(_batch(spark, sf_dir), "batch")
-    months = stored.read(stored.months_in(batch))
-    merged = merge(months, batch, KEYS, workspace=workspace, source_is_stored=True)
-    stored.replace_months(merged)
+    merge_stored(stored, batch, KEYS, workspace=workspace)
     return flat(stored.read())

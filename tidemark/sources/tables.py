@@ -18,6 +18,8 @@ WHOLE = ""
 # Entries of a commit record.
 FOLDERS = "folders"
 MARK = "mark"
+# A month in more folders than this is written anew, into one.
+SEGMENTS = 16
 
 
 class MissingTable(LookupError):
@@ -34,7 +36,9 @@ class StoredTable:
 
     With ``month_of``, folders hold one month of that column each. ``replace_months``
     writes single months, and its record takes the other months over from the one
-    before: for tables too large to copy on every load.
+    before: for tables too large to copy on every load. ``append`` writes its own rows only:
+    the record then lists several folders of a month, or of a table without months, until
+    there are more than ``SEGMENTS``.
     """
 
     def __init__(
@@ -59,11 +63,12 @@ class StoredTable:
         folders = self._current()
         if months is not None:
             wanted = {month or NO_MONTH for month in months}
-            folders = {month: folder for month, folder in folders.items() if month in wanted}
-        if not folders:
-            return self.spark.createDataFrame([], self.schema)
-        paths = [f"{self.path}/{folder}" for folder in folders.values()]
-        return self.spark.read.schema(self.schema).parquet(*paths)
+            folders = {month: held for month, held in folders.items() if month in wanted}
+        return self._scan(folders)
+
+    def folders(self) -> list[str]:
+        """Paths of the folders that hold the content."""
+        return self._paths(self._current())
 
     def publish(self, df: DataFrame, keep: int = 2, mark: str | None = None) -> int:
         """Make ``df`` the content, bound by column name; creates the table if needed.
@@ -71,7 +76,7 @@ class StoredTable:
         The ``keep`` newest versions stay, for readers that have started on one of them.
         ``mark`` goes into the record: the day up to which the content is complete.
         """
-        return self._commit(df, {}, keep, mark)
+        return self._commit({}, df, None, keep, mark)
 
     def mark(self) -> str | None:
         """The mark of the newest record."""
@@ -89,25 +94,46 @@ class StoredTable:
         """Months present in ``df``: bounded by the calendar, however large the data."""
         return [row[0] for row in df.select(self._month().alias(MONTH)).distinct().collect()]
 
-    def replace_months(self, df: DataFrame, keep: int = 2, mark: str | None = None) -> int:
-        """A new version in which every month that occurs in ``df`` is that of ``df``."""
-        return self._commit(df, self._current(), keep, mark)
+    def replace_months(
+        self, df: DataFrame, added: DataFrame | None = None, keep: int = 2, mark: str | None = None
+    ) -> int:
+        """A new version in which every month that occurs in ``df`` is that of ``df``.
+
+        The rows of ``added`` then come in addition.
+        """
+        return self._commit(self._current(), df, added, keep, mark)
+
+    def append(self, df: DataFrame, keep: int = 2, mark: str | None = None) -> int:
+        """A new version with the rows of ``df`` in addition; no other row is written."""
+        return self._commit(self._current(), None, df, keep, mark)
 
     def _next(self) -> int:
         return max(self._numbers() + self.versions(), default=0) + 1
 
-    def _commit(self, df: DataFrame, others: dict[str, str], keep: int, mark: str | None) -> int:
-        version = self._next()
-        folder = f"v{version:08d}"
-        self._write(df, f"{self.path}/{folder}")
-        written = {WHOLE: folder}
-        if self.month_of:
-            names = storage.child_names(self.spark, f"{self.path}/{folder}")
-            months = [name for name in names if name.startswith(f"{MONTH}=")]
-            written = {name[len(MONTH) + 1 :]: f"{folder}/{name}" for name in months}
-        return self._put_record(version, {**others, **written}, keep, mark)
-
-    def _put_record(self, version: int, folders: dict[str, str], keep: int, mark: str | None) -> int:
+    def _commit(
+        self,
+        others: dict[str, list[str]],
+        replaced: DataFrame | None,
+        added: DataFrame | None,
+        keep: int,
+        mark: str | None,
+    ) -> int:
+        folders, last = dict(others), self._next() - 1
+        if replaced is not None:
+            last += 1
+            folders.update({month: [folder] for month, folder in self._write(replaced, last).items()})
+        if added is not None:
+            last += 1
+            for month, folder in self._write(added, last).items():
+                folders[month] = [*folders.get(month, []), folder]
+        many = {month: held for month, held in folders.items() if len(held) > SEGMENTS}
+        if many:
+            last += 1
+            whole = self._write(self._scan(many), last)
+            folders.update({month: [folder] for month, folder in whole.items()})
+        return self._put_record(last, folders, keep, mark)
+
+    def _put_record(self, version: int, folders: dict[str, list[str]], keep: int, mark: str | None) -> int:
         record = json.dumps({FOLDERS: folders, MARK: mark}, sort_keys=True)
         storage.put_text(self.spark, self._record(version), record)
         self._clean(keep)
@@ -118,7 +144,12 @@ class StoredTable:
         versions = self.versions()
         for old in versions[:-keep]:
             storage.delete(self.spark, self._record(old))
-        used = {folder for version in versions[-keep:] for folder in self._folders(version).values()}
+        used = {
+            folder
+            for version in versions[-keep:]
+            for held in self._folders(version).values()
+            for folder in held
+        }
         for number in self._numbers():
             folder = f"v{number:08d}"
             held = [name for name in used if name.split("/")[0] == folder]
@@ -139,16 +170,18 @@ class StoredTable:
     def _record(self, version: int) -> str:
         return f"{self._records()}/{version:08d}.json"
 
-    def _folders(self, version: int) -> dict[str, str]:
-        """Folders by month; a table without months has one. Bounded by the calendar."""
+    def _folders(self, version: int) -> dict[str, list[str]]:
+        """Folders by month; without months all are under one name. Bounded by the calendar."""
         return self._content(version)[FOLDERS]
 
     def _content(self, version: int) -> dict:
         record = json.loads(storage.read_text(self.spark, self._record(version)))
-        # Records once held the folders alone.
-        return record if FOLDERS in record else {FOLDERS: record, MARK: None}
+        # Records once held the folders alone, and one of each month.
+        record = record if FOLDERS in record else {FOLDERS: record, MARK: None}
+        folders = {month: [held] if isinstance(held, str) else held for month, held in record[FOLDERS].items()}
+        return {**record, FOLDERS: folders}
 
-    def _current(self) -> dict[str, str]:
+    def _current(self) -> dict[str, list[str]]:
         versions = self.versions()
         if not versions:
             raise MissingTable(f"no table at {self.path}; run the full load first")
@@ -157,11 +190,25 @@ class StoredTable:
     def _month(self) -> Column:
         return F.date_format(quoted(self.month_of), "yyyy-MM")
 
-    def _write(self, df: DataFrame, path: str) -> None:
+    def _paths(self, folders: dict[str, list[str]]) -> list[str]:
+        return [f"{self.path}/{folder}" for held in folders.values() for folder in held]
+
+    def _scan(self, folders: dict[str, list[str]]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*self._paths(folders))
+
+    def _write(self, df: DataFrame, number: int) -> dict[str, str]:
+        """Write ``df`` to the folder of that number; returns the folders by month."""
+        folder = f"v{number:08d}"
+        path = f"{self.path}/{folder}"
         columns = [quoted(c) for c in self.schema.names]
         if self.month_of is None:
             df.select(*columns).write.parquet(path)
-            return
+            return {WHOLE: folder}
         # One month may hold much of the table: rebalance splits it over several tasks.
         by_month = df.select(*columns, self._month().alias(MONTH)).hint("rebalance", MONTH)
         by_month.write.partitionBy(MONTH).parquet(path)
+        names = storage.child_names(self.spark, path)
+        months = [name for name in names if name.startswith(f"{MONTH}=")]
+        return {name[len(MONTH) + 1 :]: f"{folder}/{name}" for name in months}
