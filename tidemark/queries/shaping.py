@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.lookup import add_reference, reference_values
 from tidemark.queries.registry import query, table
+from tidemark.sources.names import name_table, rename_table
+from tidemark.sources.tables import StoredTable
+from tidemark.workspace import Workspace
 
 
 @query("SELECT DISTINCT * FROM lineitem")
@@ -44,6 +47,19 @@ def param_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionAll, counts)
 
 
+@query("SELECT * FROM customer")
+def table_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Named while empty, published and appended to, then read by name in another session."""
+    customers = table(spark, sf_dir, "customer")
+    stored = StoredTable(spark, Workspace(spark).path("customer"), customers.schema)
+    stored.create_empty()
+    name_table(stored, "named_customer")
+    stored.publish(customers.filter("c_nationkey < 10"))
+    stored.append(customers.filter("c_nationkey >= 10 or c_nationkey is null"))
+    rename_table(stored, "named_customer")
+    return spark.newSession().table("named_customer")
+
+
 LABELLED_SQL = """
     SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality
     FROM documents d
