@@ -433,6 +433,33 @@ def test_toxicity(spark, docs, none):
     assert toxicity.fit(source, labels.limit(0)).score(b"") == 0.5
 
 
+def test_toxicity_of_each_class_and_of_a_misspelling():
+    rng = np.random.default_rng(3)
+    plain = "river stone garden window yellow market letter summer bridge candle winter pocket".split()
+
+    def texts(n, *marks):
+        drawn = [[str(w) for w in rng.choice(plain, 12)] for _ in range(n)]
+        for k, words in enumerate(drawn):
+            if marks:
+                words[k % 12] = marks[k % len(marks)]
+        return [" ".join(words).encode() for words in drawn]
+
+    clean, toxic = texts(300), texts(100, "stupid", "worthless", "disgusting")
+    model = toxicity.train(clean + toxic, [0] * 300 + [1] * 100)
+
+    def found(rows):
+        return sum(model.score(text) >= 0.5 for text in rows)
+
+    assert found(texts(100)) == 0
+    assert found(texts(100, "stupid", "worthless", "disgusting")) == 100
+    # Words that training has not seen, but most of their n-grams.
+    assert found(texts(100, "worthlesss", "dissgusting")) == 100
+    # A short word keeps half of them: above clean texts, not always above 0.5.
+    short = [model.score(text) for text in texts(100, "stuppid")]
+    assert min(short) > max(model.score(text) for text in texts(100))
+    assert found(texts(100, "orchard", "velvet", "thunder")) == 0
+
+
 def grouped(rows, width, percent):
     sets = [shingle_set(t, width) for _, t in rows]
     parent = list(range(len(rows)))
