@@ -12,6 +12,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -321,6 +322,41 @@ def test_added_tokens_are_looked_for_in_texts_as_they_are():
         assert np.frombuffer(words.ids([text])[0], np.uint32).tolist() == wanted
 
 
+def test_kept_words_are_bounded_by_their_size(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing.WordTokenizer, "KEEP_CHARACTERS", 50_000)
+    plain = Tokenizer.from_file(tokenizer_path())
+    words = packing.WordTokenizer(tokenizer_path())
+    for i in range(30):
+        digests = [hashlib.sha512(b"%d" % (70 * i + k)).hexdigest() for k in range(100)]
+        text = " ".join(digests)  # 30 of the words of the text before are in it
+        wanted = plain.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(words.ids([text])[0], np.uint32).tolist() == wanted
+        assert sum(map(len, [*words.new, *words.old])) <= 2 * (50_000 + len(text))
+
+
+def test_packing_reads_batches_of_bounded_size(spark, workspace, monkeypatch):
+    def sizes(path, window, end_id, with_ids):
+        def run(batches):
+            for batch in batches:
+                n = [batch.nbytes] * batch.num_rows
+                one = [1] * batch.num_rows
+                columns = [batch.column(0), *map(pa.array, ([0] * batch.num_rows, one, one, n))]
+                names = ["id", "start", "length", "ids_crc32", "doc_tokens"]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+        return run
+
+    monkeypatch.setattr(packing, "_cut", sizes)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    long = spark.range(20, numPartitions=1).select(F.col("id").alias("doc_id"), F.expr("repeat('word ', 200000)").alias("text"))
+    got = packing.pack(long, workspace, tokenizer_path()).collect()
+    assert len(got) == 20 and max(r["doc_tokens"] for r in got) < 6_000_000
+    assert spark.conf.get(key) == before
+
+
 def test_packing(docs, none, rows, workspace):
     from tokenizers import Tokenizer
 

@@ -36,10 +36,14 @@ _TIDY = {
 
 
 @contextmanager
-def tidy(spark: SparkSession) -> Iterator[None]:
-    """Run stored steps one after the other, each clearing its own shuffle files."""
-    before = {key: spark.conf.get(key, None) for key in _TIDY}
-    for key, value in _TIDY.items():
+def tidy(spark: SparkSession, more: dict[str, str] | None = None) -> Iterator[None]:
+    """Run stored steps one after the other, each clearing its own shuffle files.
+
+    ``more`` holds further settings for these steps.
+    """
+    settings = {**_TIDY, **(more or {})}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
         spark.conf.set(key, value)
     try:
         yield

@@ -29,6 +29,10 @@ from tidemark.workspace import Workspace
 WINDOW = 4096
 END_ID = 2
 SHARE_ROWS = 200_000
+# Text whose words are held at once; they take some twenty times as much.
+SLICE_BYTES = 1_000_000
+# A batch is held whole on either side of the pipe to Python, so its rows are counted by size.
+SMALL_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 HELD = "tokenizer"
 # A letter that str.lower() lowers by its place in the word, and blanks to str.split() alone.
 ODD = "\u03a3\x1c\x1d\x1e\x1f"
@@ -42,7 +46,9 @@ class WordTokenizer:
     hold the separator or an added token, and tokenizers of other kinds, take the plain way.
     """
 
-    KEEP = 400_000
+    #: Words of a generation, of which two are kept, and characters of them.
+    KEEP = 300_000
+    KEEP_CHARACTERS = 6_000_000
     SEPARATOR = "\x01"
     MARKS = ".,;:!?"
 
@@ -64,6 +70,7 @@ class WordTokenizer:
         self.marks = {c: np.array(self._plain(c), np.uint32).tobytes() for c in self.MARKS}
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.characters = 0
 
     def _drops_blanks(self) -> bool:
         a, b, c = map(self._plain, "abc")
@@ -91,7 +98,7 @@ class WordTokenizer:
         # A mark behind letters is a token run of its own, so the letters are looked up alone.
         tails = [word for word in words if word[-1] in self.marks and word[:-1].isalpha()]
         missing = words.difference(tails)
-        cores = {word[:-1] for word in tails} - self.new.keys()
+        cores = {word[:-1] for word in tails}.difference(self.new)
         known = cores & self.old.keys()
         self.new.update((word, self.old[word]) for word in known)
         missing |= cores - known
@@ -126,14 +133,18 @@ class WordTokenizer:
             return [np.array(self._plain(text), np.uint32).tobytes() for text in texts]
         lowered = [self._lowered(text) for text in texts]
         words = [[] if low is None else low.split() for low in lowered]
-        self._learn(set().union(*words) - self.new.keys())
+        # Given the dict, difference() looks up each word; ``- keys()`` would walk all that is kept.
+        unknown = set().union(*words).difference(self.new)
+        self.characters += sum(map(len, unknown))
+        self._learn(unknown)
         get = self.new.__getitem__
         out = [
             np.array(self._plain(text), np.uint32).tobytes() if low is None else b"".join(map(get, own))
             for own, low, text in zip(words, lowered, texts)
         ]
-        if len(self.new) > self.KEEP:
+        if len(self.new) > self.KEEP or self.characters > self.KEEP_CHARACTERS:
             self.old, self.new = self.new, {}
+            self.characters = 0
         return out
 
 
@@ -149,11 +160,11 @@ def _cut(path: str, window: int, end_id: int, with_ids: bool):
         hold(HELD, _tokenizer.cache_clear)
         tokenizer = _tokenizer(path)
         for batch in batches:
-            for first, texts in slices(batch.column(1)):
+            for first, texts in slices(batch.column(1), SLICE_BYTES):
                 whole = []
                 if len(texts) == 1:
                     # One very long text, cut at blanks, where no token can cross.
-                    parts = pieces(texts[0]) if tokenizer.by_word else [texts[0]]
+                    parts = pieces(texts[0], SLICE_BYTES) if tokenizer.by_word else [texts[0]]
                     whole.append(b"".join(tokenizer.ids([p.decode()])[0] for p in parts) + end)
                 else:
                     whole = [ids + end for ids in tokenizer.ids([t.decode() for t in texts])]
@@ -286,7 +297,7 @@ def pack(
     spark = docs.sparkSession
     if window >= 1 << 13:
         raise ValueError("windows of 8191 tokens at most")
-    with tidy(spark):
+    with tidy(spark, SMALL_BATCHES):
         rows = docs.select(quoted(id_col).alias("id"), F.coalesce(quoted(text_col), F.lit("")).alias("text"))
         schema = "id long, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
         schema = schema.replace("id long", f"id {rows.schema['id'].dataType.simpleString()}")
