@@ -238,6 +238,23 @@ def test_partitions_follow_the_input_size(spark):
     assert spark.conf.get(split) == before and spark.conf.get(shuffle, None) is None
 
 
+def test_sizes_of_loads_side_by_side_do_not_outlast_them(spark):
+    shuffle = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(shuffle, None)
+    first, second = sized_for(spark, 2**40), sized_for(spark, 2**39)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(shuffle) == "4096"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(shuffle, None) == before
+    with sized_for(spark, 2**40):
+        with sized_for(spark, 2**39):
+            assert spark.conf.get(shuffle) == "4096"
+        assert spark.conf.get(shuffle) == "8192"
+    assert spark.conf.get(shuffle, None) == before
+
+
 def test_text_schema(spark):
     schema = spark.range(1).select("id", F.lit(1.0).alias("x")).schema
     assert text_schema(schema).simpleString() == "struct<id:string,x:string>"

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import threading
 import warnings
 from collections.abc import Iterator
 from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import SparkSession
 
@@ -71,18 +73,38 @@ def settings_for(spark: SparkSession, input_bytes: int) -> dict[str, str]:
     }
 
 
+# By session: the settings in force, oldest first, and the session's own, for loads side by side.
+_SIZED: WeakKeyDictionary[SparkSession, tuple[list[dict[str, str]], dict[str, str | None]]] = WeakKeyDictionary()
+_SIZING = threading.Lock()
+
+
+def _apply(spark: SparkSession, settings: dict[str, str | None]) -> None:
+    for key, value in settings.items():
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)
+
+
 @contextmanager
 def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
-    """Run jobs under ``settings_for``; the session's own settings come back after."""
+    """Run jobs under ``settings_for``; the session's own settings come back after.
+
+    Of several in one session, nested or in threads, the last one entered holds; the session's
+    own settings come back with the end of all, in whatever order they end.
+    """
     settings = settings_for(spark, input_bytes)
-    before = {key: spark.conf.get(key, None) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
+    with _SIZING:
+        if spark not in _SIZED:
+            _SIZED[spark] = [], {key: spark.conf.get(key, None) for key in settings}
+        active, own = _SIZED[spark]
+        active.append(settings)
+        _apply(spark, settings)
     try:
         yield
     finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+        with _SIZING:
+            active[:] = [other for other in active if other is not settings]
+            if not active:
+                del _SIZED[spark]
+            _apply(spark, active[-1] if active else own)
